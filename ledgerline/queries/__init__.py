@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["charging", "columns", "statistics", "windowed"]
+MODULES = ["charging", "columns", "statistics", "windowed", "tables"]
 
 
 def _merged(name: str) -> dict:

@@ -18,9 +18,10 @@ def clean_name(text: str) -> str:
     return name
 
 
-def create_database(spark: SparkSession, name: str, use: bool = False) -> str:
+def create_database(spark: SparkSession, name: str, use: bool = False, location: str | None = None) -> str:
     database = clean_name(name)
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    at = " LOCATION '" + location.replace("'", "\\'") + "'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{at}")
     if use:
         spark.sql(f"USE `{database}`")
     return database
