@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["charging", "columns", "statistics", "windowed", "tables"]
+MODULES = ["charging", "columns", "statistics", "windowed", "tables", "streamed"]
 
 
 def _merged(name: str) -> dict:
