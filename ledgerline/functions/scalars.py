@@ -84,4 +84,8 @@ def location_parts(text: Column, names: list[str]) -> Column:
         F.split(F.regexp_replace(text, r"^[\[(]+|[\])]+$", ""), "'"),
         lambda p: F.length(F.regexp_replace(p, "[ ,]", "")) > 1,
     )
-    return F.struct(*[F.get(pieces, F.lit(i)).alias(n) for i, n in enumerate(names)])
+    # A one-element array around the pieces, so that they are split once and not once per name.
+    named = F.transform(
+        F.array(pieces), lambda p: F.struct(*[F.get(p, F.lit(i)).alias(n) for i, n in enumerate(names)])
+    )
+    return F.get(named, F.lit(0))

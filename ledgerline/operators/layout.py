@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerline.functions.search import count_at_or_below
+
 
 def ordinal(df: DataFrame, column: str) -> Column:
     """A number that never decreases along the column's order."""
@@ -27,23 +29,33 @@ def ordinal(df: DataFrame, column: str) -> Column:
     raise TypeError(f"cannot cluster by {column}: {kind.simpleString()}")
 
 
-def interleaved(df: DataFrame, columns: list[str], bits: int = 6) -> Column:
-    """Bits of the quantile number of each column, in turn, so that near rows in all columns get near numbers.
+def with_cluster_number(df: DataFrame, columns: list[str], out: str, bits: int = 6) -> DataFrame:
+    """Add a number made of the bits of each column's quantile number, in turn.
 
-    Per column at most ``2**bits - 1`` cut points come to the driver.
+    Rows near each other in all columns get numbers near each other.  Per column at
+    most ``2**bits - 1`` cut points come to the driver.
     """
     if not 1 <= len(columns) <= 4:
         raise ValueError("cluster by one to four columns")
     cuts = (1 << bits) - 1
     at = [(i + 1) / (cuts + 1) for i in range(cuts)]
-    found = df.agg(*[F.percentile_approx(ordinal(df, c), at).alias(f"q{i}") for i, c in enumerate(columns)]).first()
-    parts = []
-    for i, c in enumerate(columns):
-        points = F.array(*[F.lit(v) for v in sorted(set(found[f"q{i}"] or []))]).cast("array<double>")
-        value = ordinal(df, c)
-        bucket = F.coalesce(F.size(F.filter(points, lambda p: p <= value)), F.lit(0)).cast("long")
-        parts += [F.shiftleft(F.shiftright(bucket, b).bitwiseAND(F.lit(1)), b * len(columns) + i) for b in range(bits)]
-    return reduce(lambda a, b: a.bitwiseOR(b), parts)
+    places = [f"_place_{i}" for i in range(len(columns))]
+    placed = df.select("*", *[ordinal(df, c).alias(p) for c, p in zip(columns, places)])
+    found = placed.agg(*[F.percentile_approx(p, at).alias(p) for p in places]).first()
+    numbered = placed.withColumns(
+        {
+            p: count_at_or_below(
+                F.array(*[F.lit(v) for v in sorted(set(found[p] or []))]).cast("array<double>"), F.col(p), cuts
+            ).cast("long")
+            for p in places
+        }
+    )
+    parts = [
+        F.shiftleft(F.shiftright(F.col(p), b).bitwiseAND(F.lit(1).cast("long")), b * len(columns) + i)
+        for i, p in enumerate(places)
+        for b in range(bits)
+    ]
+    return numbered.withColumn(out, reduce(lambda x, y: x.bitwiseOR(y), parts)).drop(*places)
 
 
 def cluster_layout(df: DataFrame, columns: list[str], files: int, bits: int = 6) -> DataFrame:
@@ -52,7 +64,7 @@ def cluster_layout(df: DataFrame, columns: list[str], files: int, bits: int = 6)
     A row hash follows the cluster number in the range key, so that many rows with
     equal values still spread over several tasks.
     """
-    numbered = df.withColumn("_z", interleaved(df, columns, bits)).withColumn("_h", F.xxhash64(*df.columns))
+    numbered = with_cluster_number(df, columns, "_z", bits).withColumn("_h", F.xxhash64(*df.columns))
     return numbered.repartitionByRange(files, "_z", "_h").sortWithinPartitions("_z", *columns).drop("_z", "_h")
 
 

@@ -22,11 +22,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
+from ledgerline.functions.search import count_at_or_below
+
 HASH, SLICE = "_key_hash", "_slice"
 
 
@@ -83,14 +84,7 @@ class Cuts:
 
     def slice_of(self, df: DataFrame) -> DataFrame:
         """Add ``_slice``: 0 for other keys, the number of cuts at or below the row plus 1 for hot ones."""
-        place = F.struct(*[F.col(c) for c in self.order])
-        steps = [1 << p for p in reversed(range(max(1, self.longest.bit_length())))]
-        # Binary search: the longest prefix of cuts at or below the row.
-        below = F.aggregate(
-            F.array(*[F.lit(s) for s in steps]),
-            F.lit(0),
-            lambda low, step: F.when(F.get("_cuts", low + step - 1) <= place, low + step).otherwise(low),
-        )
+        below = count_at_or_below(F.col("_cuts"), F.struct(*[F.col(c) for c in self.order]), self.longest)
         return (
             df.withColumn(HASH, key_hash(self.keys))
             .join(F.broadcast(self.table), HASH, "left")
@@ -100,14 +94,20 @@ class Cuts:
 
 
 def cut_hot_keys(
-    df: DataFrame, keys: list[str], order: list[str], policy: HotKeyPolicy = DEFAULT_POLICY
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    policy: HotKeyPolicy = DEFAULT_POLICY,
+    hot_from: DataFrame | None = None,
 ) -> Cuts | None:
     """Cut points for the hot keys of ``df``, or None when no key is hot.
 
+    ``hot_from`` may be a frame with the same keys that is cheaper to count.
+
     Rows equal in all ``order`` columns stay in one slice, so ``order`` should end
     with a column that tells copies apart.
     """
-    hot, limit = find_hot_keys(df, keys, policy)
+    hot, limit = find_hot_keys(df if hot_from is None else hot_from, keys, policy)
     if not hot:
         return None
     spark = df.sparkSession
@@ -149,6 +149,7 @@ def enrich(
     keys: list[str],
     how: str = "left",
     policy: HotKeyPolicy = DEFAULT_POLICY,
+    hot_from: DataFrame | None = None,
 ) -> DataFrame:
     """Join to ``facts``, which has one row per key.
 
@@ -156,7 +157,7 @@ def enrich(
     out of an aggregate on that key, so hot keys are taken out and joined by
     broadcast: at most one row each, fewer than ``1/share`` rows.
     """
-    hot, _ = find_hot_keys(df, keys, policy)
+    hot, _ = find_hot_keys(df if hot_from is None else hot_from, keys, policy)
     if not hot:
         return df.join(facts, keys, how)
     is_hot = key_hash(keys).isin(hot)

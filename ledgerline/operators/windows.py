@@ -143,6 +143,7 @@ def shift_columns(
     order: list[str],
     shifts: dict[str, tuple[str, int] | tuple[str, int, object]],
     policy: HotKeyPolicy = DEFAULT_POLICY,
+    hot_from: DataFrame | None = None,
 ) -> DataFrame:
     """Add values of earlier (positive offset) or later (negative offset) rows of the key.
 
@@ -154,7 +155,7 @@ def shift_columns(
         w = W.partitionBy(*by).orderBy(*order)
         return [F.lag(s[0], s[1], *s[2:]).over(w).alias(name) for name, s in shifts.items()]
 
-    cuts = cut_hot_keys(df, keys, order, policy)
+    cuts = cut_hot_keys(df, keys, order, policy, hot_from)
     if cuts is None:
         return df.select("*", *shifted(keys))
 
@@ -311,6 +312,7 @@ def idle_time(
     busy: Column,
     out: str,
     policy: HotKeyPolicy = DEFAULT_POLICY,
+    hot_from: DataFrame | None = None,
 ) -> DataFrame:
     """Hours each key spent idle, two decimals.
 
@@ -323,7 +325,7 @@ def idle_time(
     seconds = F.unix_seconds(F.col(ts).cast("timestamp"))
     readings = df.select(key, ts, F.coalesce(~busy, F.lit(True)).alias("_idle"), seconds.alias("_s"))
     paired = shift_columns(
-        readings, [key], [ts], {"_was_idle": ("_idle", 1, False), "_prev_s": ("_s", 1)}, policy
+        readings, [key], [ts], {"_was_idle": ("_idle", 1, False), "_prev_s": ("_s", 1)}, policy, hot_from
     )
     gap = F.when(F.col("_was_idle"), F.col("_s") - F.col("_prev_s")).otherwise(F.lit(0))
     return (

@@ -134,14 +134,21 @@ def with_totals(sessions: DataFrame, unit: str = "kWh") -> DataFrame:
     )
 
 
-def parking_time(samples: DataFrame, policy: HotKeyPolicy = DEFAULT_POLICY) -> DataFrame:
+def parking_time(
+    samples: DataFrame, policy: HotKeyPolicy = DEFAULT_POLICY, hot_from: DataFrame | None = None
+) -> DataFrame:
     """Idle hours per transaction; a transaction that never idles has no row."""
     power = main_power(samples).select("transaction_id", "timestamp", "value")
-    return idle_time(power, "transaction_id", "timestamp", F.col("value") > 0, "total_parking_time", policy)
+    return idle_time(power, "transaction_id", "timestamp", F.col("value") > 0, "total_parking_time", policy, hot_from)
 
 
-def with_parking(sessions: DataFrame, parking: DataFrame, policy: HotKeyPolicy = DEFAULT_POLICY) -> DataFrame:
-    return enrich(sessions, parking, ["transaction_id"], "left", policy).select(*RECORD)
+def with_parking(
+    sessions: DataFrame,
+    parking: DataFrame,
+    policy: HotKeyPolicy = DEFAULT_POLICY,
+    hot_from: DataFrame | None = None,
+) -> DataFrame:
+    return enrich(sessions, parking, ["transaction_id"], "left", policy, hot_from).select(*RECORD)
 
 
 def charge_records(
@@ -152,20 +159,33 @@ def charge_records(
     how: str = "inner",
     unit: str = "kWh",
     policy: HotKeyPolicy = DEFAULT_POLICY,
+    metered: DataFrame | None = None,
 ) -> DataFrame:
-    """Charge records with all nine columns from the four cleaned tables."""
+    """Charge records with all nine columns from the four cleaned tables.
+
+    ``metered`` may give the transactions of ``samples`` more cheaply, for finding
+    transactions with very many readings.
+    """
     starts = matched_starts(starts_named, starts_asked, how)
     return (
         matched_stops(stops, starts)
         .transform(with_totals, unit)
-        .transform(with_parking, parking_time(samples, policy), policy)
+        .transform(with_parking, parking_time(samples, policy, metered), policy, stops.select("transaction_id"))
     )
 
 
 def charge_records_from_log(log: DataFrame, policy: HotKeyPolicy = DEFAULT_POLICY) -> DataFrame:
     """Charge records straight from the raw log: seven columns, energy in Wh."""
+    readings = unpack(messages(log, "MeterValues", shape.REQUEST), "transaction_id int")
     records = charge_records(
-        start_requests(log), start_responses(log), stop_requests(log), meter_samples(log), "inner", "Wh", policy
+        start_requests(log),
+        start_responses(log),
+        stop_requests(log),
+        meter_samples(log),
+        "inner",
+        "Wh",
+        policy,
+        readings.select("new_body.transaction_id"),
     )
     return records.select(*SHORT_RECORD)
 

@@ -10,7 +10,7 @@ from ledgerline.plans import charging as plan
 from ledgerline.plans.charging_schemas import START_RESPONSE
 from ledgerline.queries.message_log import message_log
 from ledgerline.session import scratch_path
-from ledgerline.sources.writers import labelled
+from ledgerline.sources.writers import labelled, write_parquet
 
 
 def _zoneless(df: DataFrame, *columns: str) -> DataFrame:
@@ -18,7 +18,10 @@ def _zoneless(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def cdr(spark: SparkSession, sf: str) -> DataFrame:
-    return _zoneless(plan.charge_records_from_log(message_log(spark, sf)), "start_timestamp", "stop_timestamp")
+    """The log is stored first, as a real one would be: the plan reads it several times."""
+    path = scratch_path(spark, "log")
+    write_parquet(message_log(spark, sf), path)
+    return _zoneless(plan.charge_records_from_log(spark.read.parquet(path)), "start_timestamp", "stop_timestamp")
 
 
 def cdr_layered(spark: SparkSession, sf: str) -> DataFrame:

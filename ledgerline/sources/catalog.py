@@ -5,9 +5,11 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerline.sources.writers import align_schema
+from ledgerline.streaming.sinks import stream_to_parquet
+from ledgerline.streaming.sources import stream_files
 
 
 def clean_name(text: str) -> str:
@@ -66,36 +68,15 @@ def replace_table(spark: SparkSession, database: str, table: str, df: DataFrame,
     return create_table(spark, database, table, path)
 
 
-def copy_into(spark: SparkSession, source: str, table_path: str, manifest: str, fmt: str = "json", schema=None) -> int:
-    """Load files of a folder that were not loaded before; returns the number of new files.
+def copy_into(
+    spark: SparkSession, source: str, path: str, checkpoint: str, fmt: str, schema: T.StructType | str
+) -> int:
+    """Load the files of a folder that were not loaded before; returns the number of new rows.
 
-    The manifest table lists loaded files.  Rows keep the name of their file, so a
-    run that died after the rows and before the manifest is recognised from the
-    rows, and its files are not loaded again.
+    A stream that takes what is there and stops: its checkpoint remembers the loaded
+    files, and its sink never shows a half-loaded one, whenever the job died.  Old
+    files are listed but not read.
     """
-    reader = spark.read.format(fmt)
-    rows = (reader.schema(schema) if schema is not None else reader).load(source)
-    rows = rows.withColumn("source_file", F.col("_metadata.file_path"))
-    known = [
-        spark.read.parquet(p).select("source_file") for p in (manifest, table_path) if _exists(spark, p)
-    ]
-    fresh = rows
-    for names in known:
-        fresh = fresh.join(names.distinct(), "source_file", "left_anti")
-    files = fresh.select("source_file").distinct()
-    count = files.count()
-    if count:
-        fresh.write.mode("append").parquet(table_path)
-        loaded = spark.read.parquet(table_path).select("source_file").distinct()
-        loaded.write.mode("overwrite").parquet(manifest)
-    return count
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    from pyspark.errors import AnalysisException
-
-    try:
-        spark.read.parquet(path)
-        return True
-    except AnalysisException:
-        return False
+    query = stream_to_parquet(stream_files(spark, source, fmt, schema), path, checkpoint)
+    query.awaitTermination()
+    return sum(progress.numInputRows for progress in query.recentProgress)

@@ -13,11 +13,21 @@ from ledgerline.functions.casts import instant
 from ledgerline.operators.windows import dense_index
 
 
+UTC_NAMES = ("UTC", "Etc/UTC", "Z", "GMT", "+00:00")
+
+
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One of the given parquet tables, with zone-less timestamps read as instants."""
-    df = spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    path = f"{folder.rstrip('/')}/{name}.parquet"
+    df = spark.read.parquet(path)
     zoneless = [f.name for f in df.schema if f.dataType == T.TimestampNTZType()]
-    return df.withColumns({c: instant(c) for c in zoneless}) if zoneless else df
+    if not zoneless:
+        return df
+    if spark.conf.get("spark.sql.session.timeZone") in UTC_NAMES:
+        # Same instants without a cast, so that filters on them reach the files.
+        fields = [T.StructField(f.name, T.TimestampType()) if f.name in zoneless else f for f in df.schema]
+        return spark.read.schema(T.StructType(fields)).parquet(path)
+    return df.withColumns({c: instant(c) for c in zoneless})
 
 
 def read_parquet(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
@@ -82,5 +92,5 @@ def read_time_partition(df: DataFrame, when: datetime | date) -> DataFrame:
 
 
 def rows_of_day(df: DataFrame, day_column: str, day: date | None = None) -> DataFrame:
-    """Rows of one day, today by default."""
+    """Rows of one day, today by default, of a table with a date column."""
     return df.where(F.col(day_column) == (F.lit(day) if day else F.current_date()))
