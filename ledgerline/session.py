@@ -37,8 +37,10 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        context = spark.sparkContext
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="ledgerline-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        if not context.getCheckpointDir():
+            context.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerline-"))
+        base = context.getCheckpointDir()
     return f"{base.rstrip('/')}/ledgerline/{label}-{uuid.uuid4().hex}"

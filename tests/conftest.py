@@ -26,6 +26,16 @@ def spark():
     session.stop()
 
 
+def explained(df) -> str:
+    """The physical plan with all details, as ``explain('formatted')`` prints it."""
+    mode = df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    return df._jdf.queryExecution().explainString(mode)
+
+
+def partition_filters(df) -> str:
+    return " ".join(line for line in explained(df).splitlines() if line.startswith("PartitionFilters"))
+
+
 @pytest.fixture(scope="session")
 def sf():
     return SF

@@ -8,6 +8,7 @@ from ledgerline.functions.casts import exact_timestamp
 from ledgerline.operators.skew import HotKeyPolicy
 from ledgerline.plans import charging as plan
 from ledgerline.plans import charging_schemas as shape
+from tests.conftest import explained
 
 T0 = "2023-01-01T{}:00.000000+00:00"
 
@@ -128,18 +129,14 @@ def test_last_connection(log):
     assert got.count() == log.select("charge_point_id").distinct().count()
 
 
-def plan_text(df):
-    return df._jdf.queryExecution().explainString(df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
-
-
 def test_latest_keeps_one_row_per_key_before_the_shuffle(log):
-    text = plan_text(plan.last_connection(log, exact_timestamp("write_timestamp")))
+    text = explained(plan.last_connection(log, exact_timestamp("write_timestamp")))
     assert text.count("WindowGroupLimit") >= 2
 
 
 def test_idle_time_takes_one_shuffle(spark, log, tmp_path):
     plan.meter_samples(log).write.parquet(str(tmp_path / "s"))
-    text = plan_text(plan.parking_time(spark.read.parquet(str(tmp_path / "s"))))
+    text = explained(plan.parking_time(spark.read.parquet(str(tmp_path / "s"))))
     tree = text.split("\n\n\n")[0]
     assert tree.count("Exchange") == 1
     assert "EqualTo(measurand,Power.Active.Import)" in text and "IsNull(phase)" in text
