@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ledgerline.functions.scalars import scaled_mean
-from ledgerline.operators.skew import DEFAULT_POLICY, HotKeyPolicy, enrich
-from ledgerline.operators.windows import partition_stats, running_total
+from ledgerline.operators.skew import DEFAULT_POLICY, SLICE, HotKeyPolicy, cut_hot_keys, enrich
+from ledgerline.operators.windows import partition_stats
 
 
 def group_summary(df: DataFrame, keys: list[str], value: str) -> DataFrame:
@@ -114,25 +114,45 @@ def exact_quantiles(
 ) -> DataFrame:
     """One row of exact quantiles, interpolated between neighbouring values.
 
-    Equal values are counted first, then the running count over the sorted values,
-    cut into slices when there are many, tells which value holds a position.  No
-    task ever holds the whole column, as Spark's ``percentile`` would.
+    A large column is cut into slices by sampled values and the rows of each slice
+    are counted, which moves no data.  Then only the few slices that hold a wanted
+    position are looked into, equal values counted first.  No task ever holds the
+    whole column, as Spark's ``percentile`` would.
     """
-    counted = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
-    total = counted.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
-    placed = running_total(counted, [], [column], [], "_n", "_upto", policy)
+    present = df.where(F.col(column).isNotNull()).select(column)
+    cuts = cut_hot_keys(present, [], [column], policy)
+    sliced = cuts.slice_of(present) if cuts else present.withColumn(SLICE, F.lit(0))
+    sizes = dict(sliced.groupBy(SLICE).agg(F.count(F.lit(1)).alias("n")).collect())
+    total = sum(sizes.values())
+    starts, passed = {}, 0
+    for number in sorted(sizes):
+        starts[number] = passed
+        passed += sizes[number]
+
+    wanted = {}
+    for name, p in probabilities.items():
+        place = p * max(total - 1, 0)
+        low = math.floor(place)
+        wanted[name] = (low, min(low + 1, max(total - 1, 0)), place - low)
+    positions = {at for low, high, _ in wanted.values() for at in (low, high)}
+    holding = {n: starts[n] for n in starts if any(starts[n] <= at < starts[n] + sizes[n] for at in positions)}
+
+    before = F.coalesce(*[F.when(F.col(SLICE) == n, F.lit(start)) for n, start in holding.items()], F.lit(0))
+    in_slice = W.partitionBy(SLICE).orderBy(column).rowsBetween(W.unboundedPreceding, W.currentRow)
+    placed = (
+        sliced.where(F.col(SLICE).isin(list(holding)))
+        .groupBy(SLICE, column)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_upto", before + F.sum("_n").over(in_slice))
+    )
 
     def at(position: int) -> Column:
         holds = (F.col("_upto") - F.col("_n") <= position) & (F.col("_upto") > position)
         return F.max(F.when(holds, F.col(column).cast("double")))
 
-    def quantile(p: float) -> Column:
-        place = p * max(total - 1, 0)
-        low = math.floor(place)
-        high = min(low + 1, max(total - 1, 0))
-        return at(low) + (at(high) - at(low)) * (place - low)
-
-    return placed.agg(*[quantile(p).alias(name) for name, p in probabilities.items()])
+    return placed.agg(
+        *[(at(low) + (at(high) - at(low)) * rest).alias(name) for name, (low, high, rest) in wanted.items()]
+    )
 
 
 def distribution(df: DataFrame, column: str, policy: HotKeyPolicy = DEFAULT_POLICY) -> DataFrame:

@@ -9,6 +9,7 @@ partitioned by ``_version``, so reading up to a version skips later folders.
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -93,7 +94,7 @@ def _reject_ambiguous(target: DataFrame, source: DataFrame, keys: list[str]) ->
 
 def violations(df: DataFrame, check: Column, null_passes: bool = True) -> DataFrame:
     """Rows that fail a check."""
-    return df.where(~F.coalesce(check, F.lit(null_passes)))
+    return df.where(~check if null_passes else ~F.coalesce(check, F.lit(False)))
 
 
 def enforce_check(df: DataFrame, name: str, check: Column, null_passes: bool = True) -> DataFrame:
@@ -148,11 +149,11 @@ def stamped(df: DataFrame, op: str | Column, version: int, commit_ts: datetime |
 
 def update_changes(df: DataFrame, condition: Column, assignments: dict[str, Column], version: int, ts) -> DataFrame:
     """The change rows of an update of the current table."""
-    return stamped(update_where(df.where(F.coalesce(condition, F.lit(False))), F.lit(True), assignments), UPDATE, version, ts)
+    return stamped(update_where(df.where(condition), F.lit(True), assignments), UPDATE, version, ts)
 
 
 def delete_changes(df: DataFrame, condition: Column, version: int, ts) -> DataFrame:
-    return stamped(df.where(F.coalesce(condition, F.lit(False))), DELETE, version, ts)
+    return stamped(df.where(condition), DELETE, version, ts)
 
 
 def merge_changes(target: DataFrame, source: DataFrame, keys: list[str], version: int, ts) -> DataFrame:
@@ -199,9 +200,9 @@ def as_of(log: DataFrame, keys: list[str], version: int | None = None, ts: datet
 def table_diff(log: DataFrame, keys: list[str], old: int, new: int) -> DataFrame:
     """Net changes from version ``old`` to version ``new``, which may also go back in time.
 
-    Deleted rows show their old values, other rows their new ones.  Both states of a
-    key come out of one aggregate over the changes, without building or joining the
-    two tables.
+    Deleted rows show their old values, other rows their new ones.  Only keys with a
+    change between the versions are looked at, and both states of a key come out of
+    one aggregate over its changes.
     """
     payload = [c for c in log.columns if c not in keys + LOG_COLUMNS]
     row = F.struct("_op", *payload)
@@ -210,8 +211,14 @@ def table_diff(log: DataFrame, keys: list[str], old: int, new: int) -> DataFrame
         last = F.max_by(F.when(F.col("_version") <= version, row), F.when(F.col("_version") <= version, F.col("_version")))
         return last
 
+    since, until = min(old, new), max(old, new)
+    between = log.where((F.col("_version") > since) & (F.col("_version") <= until))
+    touched = between.select(*[F.col(k).alias(f"_t_{k}") for k in keys]).distinct()
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_t_{k}")) for k in keys])
     states = (
-        log.where(F.col("_version") <= max(old, new))
+        log.where(F.col("_version") <= since)
+        .join(touched, same, "left_semi")
+        .unionByName(between)
         .groupBy(*keys)
         .agg(state(old).alias("_old"), state(new).alias("_new"))
     )

@@ -11,6 +11,10 @@ from pyspark.sql import types as T
 from ledgerline.functions.search import count_at_or_below
 
 
+# Sampled rows the cut points are taken from.
+SAMPLE_ROWS = 500_000
+
+
 def ordinal(df: DataFrame, column: str) -> Column:
     """A number that never decreases along the column's order."""
     kind = df.schema[column].dataType
@@ -32,8 +36,9 @@ def ordinal(df: DataFrame, column: str) -> Column:
 def with_cluster_number(df: DataFrame, columns: list[str], out: str, bits: int = 6) -> DataFrame:
     """Add a number made of the bits of each column's quantile number, in turn.
 
-    Rows near each other in all columns get numbers near each other.  Per column at
-    most ``2**bits - 1`` cut points come to the driver.
+    Rows near each other in all columns get numbers near each other.  The quantiles
+    come from a sample of fixed size; per column at most ``2**bits - 1`` cut points
+    come to the driver.
     """
     if not 1 <= len(columns) <= 4:
         raise ValueError("cluster by one to four columns")
@@ -41,7 +46,8 @@ def with_cluster_number(df: DataFrame, columns: list[str], out: str, bits: int =
     at = [(i + 1) / (cuts + 1) for i in range(cuts)]
     places = [f"_place_{i}" for i in range(len(columns))]
     placed = df.select("*", *[ordinal(df, c).alias(p) for c, p in zip(columns, places)])
-    found = placed.agg(*[F.percentile_approx(p, at).alias(p) for p in places]).first()
+    fraction = min(1.0, SAMPLE_ROWS / max(1, df.count()))
+    found = placed.sample(fraction=fraction, seed=5).agg(*[F.percentile_approx(p, at).alias(p) for p in places]).first()
     numbered = placed.withColumns(
         {
             p: count_at_or_below(

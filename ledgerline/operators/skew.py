@@ -1,7 +1,7 @@
 """Work on keys that hold a large share of the rows.
 
 A window or a join sends all rows of a key to one task.  The functions here look
-for such keys first, with one aggregate whose result has a fixed size, and then
+for such keys first, with a row count and, above ``min_rows``, a sample, and then
 
 * ``cut_hot_keys`` cuts the rows of each hot key into slices along the sort order,
   so that a window can run per slice and be completed from one summary row per
@@ -37,7 +37,7 @@ class HotKeyPolicy:
 
     share: float = 1 / 4096
     min_rows: int = 2_000_000
-    # Sampled rows used to place one cut.  More give evener slices.
+    # Sampled rows by which a key at the limit is found, and by which one cut is placed.
     sample_per_slice: int = 200
 
 
@@ -59,18 +59,19 @@ def find_hot_keys(
 ) -> tuple[list[int], float]:
     """Hashes of the hot keys, and the number of rows above which a key is hot.
 
-    A sketch of fixed size is merged across tasks, so no row and no key list is
-    shuffled.  The sketch may miss or add a key near the limit, which costs speed
-    and never changes a result.
+    A row count settles small inputs.  Larger ones are sampled, so that a key at the
+    limit is drawn ``sample_per_slice`` times; only the sample is shuffled, whatever
+    the size of the input.  Chance may miss or add a key near the limit, which costs
+    speed and never changes a result.
     """
-    top = int(1 / policy.share)
-    found = (
-        df.select(key_hash(keys).alias(HASH))
-        .agg(F.expr(f"approx_top_k({HASH}, {top}, {16 * top})").alias("top"), F.count(F.lit(1)).alias("n"))
-        .first()
-    )
-    limit = max(policy.share * found["n"], float(policy.min_rows))
-    return [item[0] for item in found["top"] if item[1] > limit], limit
+    rows = df.count()
+    limit = max(policy.share * rows, float(policy.min_rows))
+    if rows <= limit:
+        return [], limit
+    fraction = min(1.0, policy.sample_per_slice / limit)
+    drawn = df.select(key_hash(keys).alias(HASH)).sample(fraction=fraction, seed=7)
+    counted = drawn.groupBy(HASH).agg(F.count(F.lit(1)).alias("n"))
+    return [r[0] for r in counted.where(F.col("n") > limit * fraction).collect()], limit
 
 
 @dataclass(frozen=True)
@@ -80,7 +81,11 @@ class Cuts:
     keys: list[str]
     order: list[str]
     table: DataFrame  # _key_hash, _cuts: sorted array of order tuples
-    longest: int
+    rows: list  # the same on the driver
+
+    @property
+    def longest(self) -> int:
+        return max(len(r["_cuts"]) for r in self.rows)
 
     def slice_of(self, df: DataFrame) -> DataFrame:
         """Add ``_slice``: 0 for other keys, the number of cuts at or below the row plus 1 for hot ones."""
@@ -131,7 +136,7 @@ def cut_hot_keys(
     if not rows:
         return None
     table = spark.createDataFrame(rows, cuts.schema)
-    return Cuts(keys, order, table, max(len(r["_cuts"]) for r in rows))
+    return Cuts(keys, order, table, rows)
 
 
 def attach_summary(df: DataFrame, summary: DataFrame, keys: list[str], extra: list[str]) -> DataFrame:

@@ -82,8 +82,8 @@ def in_or_predicate(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def rows_of_day(spark: SparkSession, sf: str) -> DataFrame:
-    events = read_table(spark, sf, "events").withColumn("day", F.to_date("ts"))
-    return day_rows(events, "day", date(2024, 1, 15)).select("event_id", "user_id", "day")
+    events = day_rows(read_table(spark, sf, "events"), "ts", date(2024, 1, 15))
+    return events.select("event_id", "user_id", F.to_date("ts").alias("day"))
 
 
 def quarantine_split(spark: SparkSession, sf: str) -> DataFrame:

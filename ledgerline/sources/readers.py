@@ -91,6 +91,12 @@ def read_time_partition(df: DataFrame, when: datetime | date) -> DataFrame:
     return df.where(reduce(lambda a, b: a & b, [F.col(c) == v for c, v in parts.items()]))
 
 
-def rows_of_day(df: DataFrame, day_column: str, day: date | None = None) -> DataFrame:
-    """Rows of one day, today by default, of a table with a date column."""
-    return df.where(F.col(day_column) == (F.lit(day) if day else F.current_date()))
+def rows_of_day(df: DataFrame, column: str, day: date | None = None) -> DataFrame:
+    """Rows of one day, today by default, by a date or a time column.
+
+    A time is compared with both ends of the day, which files can be skipped by.
+    """
+    start = F.lit(day) if day else F.current_date()
+    if df.schema[column].dataType == T.DateType():
+        return df.where(F.col(column) == start)
+    return df.where((F.col(column) >= start.cast("timestamp")) & (F.col(column) < F.date_add(start, 1).cast("timestamp")))

@@ -94,8 +94,7 @@ def union_evolving(*frames: DataFrame) -> DataFrame:
 
 def split_quality(df: DataFrame, good: Column) -> tuple[DataFrame, DataFrame]:
     """Good rows and quarantined rows; a NULL verdict is not good."""
-    verdict = F.coalesce(good, F.lit(False))
-    return df.where(verdict), df.where(~verdict)
+    return df.where(good), df.where(~F.coalesce(good, F.lit(False)))
 
 
 def write_with_quarantine(df: DataFrame, good: Column, path: str) -> None:

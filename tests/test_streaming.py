@@ -96,7 +96,7 @@ def test_rate_source_replays_a_table(spark, tmp_path):
     query = stream_to_parquet(stream, str(tmp_path / "o"), str(tmp_path / "c"), trigger={"processingTime": "500 milliseconds"})
     try:
         for _ in range(60):
-            query.processAllAvailable() if False else query.awaitTermination(0.5)
+            query.awaitTermination(0.5)
             if sum(p["numInputRows"] for p in query.recentProgress) >= 5:
                 break
     finally:
