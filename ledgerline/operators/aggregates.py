@@ -56,7 +56,7 @@ def top_and_others(df: DataFrame, group: str, member: str, k: int = 3) -> DataFr
     largest = W.partitionBy(group).orderBy(F.col("member_count").desc(), F.col(member).asc())
     top = counts.withColumn("_place", F.row_number().over(largest)).where(F.col("_place") <= k)
     named = top.select(group, F.col(member).cast("string").alias("member"), "member_count")
-    everything = df.groupBy(group).agg(F.count(F.lit(1)).alias("group_count"))
+    everything = counts.groupBy(group).agg(F.sum("member_count").alias("group_count"))
     # From here on at most k + 1 rows per group.
     rest = (
         everything.select(group, F.lit("Others").alias("member"), F.col("group_count").alias("_signed"))

@@ -10,6 +10,11 @@ def top_rows(df: DataFrame, order: list[Column], n: int) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
+def any_row(df: DataFrame) -> DataFrame:
+    """One row, whichever comes first; reads no further than needed."""
+    return df.limit(1)
+
+
 def emissions_ranking(df: DataFrame, n: int | None = None) -> DataFrame:
     """Year, emissions and land temperature, largest emissions first."""
     columns = df.select("Year", "TotalEmissions", "LandMaxTemperature")

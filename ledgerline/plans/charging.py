@@ -7,7 +7,9 @@ readings arrive as arrays inside requests.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.casts import iso_timestamp, to_double
@@ -194,19 +196,21 @@ def build_layers(log: DataFrame, base: str, policy: HotKeyPolicy = DEFAULT_POLIC
     """Bronze, silver and gold tables under ``base``; returns the gold table.
 
     Each layer is written and read back, so a lost executor never costs more than
-    one layer, and each silver table reads the log once.
+    one layer.  Bronze is laid out by kind of message, without a shuffle, so that each
+    silver table reads only its own messages.  The silver tables do not depend on
+    each other and are written side by side.
     """
     spark = log.sparkSession
-    write_parquet(log, f"{base}/bronze")
-    bronze = spark.read.parquet(f"{base}/bronze")
+    log.write.mode("overwrite").partitionBy("action", "message_type").parquet(f"{base}/bronze")
+    bronze = spark.read.schema(shape.LOG).parquet(f"{base}/bronze")
     makers = {
         "start_requests": start_requests,
         "start_responses": start_responses,
         "stop_requests": stop_requests,
         "meter_samples": meter_samples,
     }
-    for name, make in makers.items():
-        write_parquet(make(bronze), f"{base}/silver/{name}")
+    with ThreadPoolExecutor(len(makers)) as pool:
+        list(pool.map(lambda name: write_parquet(makers[name](bronze), f"{base}/silver/{name}"), makers))
     silver = {name: spark.read.parquet(f"{base}/silver/{name}") for name in makers}
     gold = charge_records(
         silver["start_requests"],
