@@ -80,21 +80,18 @@ class Cuts:
 
     keys: list[str]
     order: list[str]
-    table: DataFrame  # _key_hash, _cuts: sorted array of order tuples
-    rows: list  # the same on the driver
-
-    @property
-    def longest(self) -> int:
-        return max(len(r["_cuts"]) for r in self.rows)
+    hot: list[int]
+    # (key hash, order columns) of each cut, as one sorted array literal: all rows
+    # share it, where a joined array would be copied into every row.
+    points: Column
+    count: int
 
     def slice_of(self, df: DataFrame) -> DataFrame:
-        """Add ``_slice``: 0 for other keys, the number of cuts at or below the row plus 1 for hot ones."""
-        below = count_at_or_below(F.col("_cuts"), F.struct(*[F.col(c) for c in self.order]), self.longest)
-        return (
-            df.withColumn(HASH, key_hash(self.keys))
-            .join(F.broadcast(self.table), HASH, "left")
-            .withColumn(SLICE, F.when(F.col("_cuts").isNotNull(), below + 1).otherwise(0))
-            .drop("_cuts")
+        """Add ``_slice``: 0 for other keys, and a number that grows along the order for hot ones."""
+        place = F.struct(HASH, *self.order)
+        below = count_at_or_below(self.points, place, self.count)
+        return df.withColumn(HASH, key_hash(self.keys)).withColumn(
+            SLICE, F.when(F.col(HASH).isin(self.hot), below + 1).otherwise(0)
         )
 
 
@@ -108,35 +105,41 @@ def cut_hot_keys(
     """Cut points for the hot keys of ``df``, or None when no key is hot.
 
     ``hot_from`` may be a frame with the same keys that is cheaper to count.
-
     Rows equal in all ``order`` columns stay in one slice, so ``order`` should end
     with a column that tells copies apart.
     """
     hot, limit = find_hot_keys(df if hot_from is None else hot_from, keys, policy)
     if not hot:
         return None
-    spark = df.sparkSession
     fraction = min(1.0, policy.sample_per_slice / limit)
     every = max(1, int(limit * fraction))
     sample = (
         df.withColumn(HASH, key_hash(keys))
         .where(F.col(HASH).isin(hot))
-        .select(HASH, F.struct(*order).alias("_place"))
+        .select(HASH, *order)
         .sample(fraction=fraction, seed=11)
     )
     # At most sample_per_slice / share sampled rows, and one kept row in `every`.
-    nth = F.row_number().over(W.partitionBy(HASH).orderBy("_place"))
-    cuts = (
-        sample.withColumn("_nth", nth)
-        .where(F.col("_nth") % every == 0)
-        .groupBy(HASH)
-        .agg(F.sort_array(F.collect_set("_place")).alias("_cuts"))
-    )
-    rows = cuts.collect()
+    # Values travel as text; a cut need not be any row's exact value.
+    nth = F.row_number().over(W.partitionBy(HASH).orderBy(*order))
+    kept = sample.withColumn("_nth", nth).where(F.col("_nth") % every == 0)
+    rows = kept.select(HASH, *[F.hex(F.col(c).cast("string")).alias(c) for c in order]).distinct().collect()
     if not rows:
         return None
-    table = spark.createDataFrame(rows, cuts.schema)
-    return Cuts(keys, order, table, rows)
+    types = [df.schema[c].dataType.simpleString() for c in order]
+    return Cuts(keys, order, sorted({r[0] for r in rows}), _literal(rows, types), len(rows))
+
+
+def _literal(rows: list, types: list[str]) -> Column:
+    """A sorted array of (hash, values) as one expression, which Spark folds into a constant."""
+
+    def value(text: str | None, kind: str) -> str:
+        return f"CAST(NULL AS {kind})" if text is None else f"CAST(CAST(unhex('{text}') AS STRING) AS {kind})"
+
+    def point(row) -> str:
+        return ", ".join([f"{row[0]}L", *[value(text, kind) for text, kind in zip(row[1:], types)]])
+
+    return F.expr(f"sort_array(array({', '.join(f'struct({point(r)})' for r in rows)}))")
 
 
 def attach_summary(df: DataFrame, summary: DataFrame, keys: list[str], extra: list[str]) -> DataFrame:

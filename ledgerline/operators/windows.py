@@ -161,29 +161,33 @@ def shift_columns(
 
     sliced = cuts.slice_of(df)
     reach = max(abs(s[1]) for s in shifts.values())
-    # Places of a row from both ends of its slice.
-    ends = [
-        F.row_number().over(W.partitionBy(*keys, SLICE).orderBy(*order)).alias("_from_start"),
-        F.row_number().over(W.partitionBy(*keys, SLICE).orderBy(*_directed(order, True))).alias("_from_end"),
-    ]
-    sources = sorted({s[0] for s in shifts.values()} | set(order) | set(keys))
+    in_slice = W.partitionBy(*keys, SLICE)
+    from_start = F.row_number().over(in_slice.orderBy(*order))
+    from_end = F.row_number().over(in_slice.orderBy(*_directed(order, True)))
     # The first and last rows of each slice, in order, have their true neighbours
-    # among themselves: at most 2 * reach rows per slice.
+    # among themselves.  Each map task hands over at most `reach` rows per slice and end.
+    narrow = sliced.where(F.col(SLICE) > 0).select(*sorted({s[0] for s in shifts.values()} | set(order) | set(keys)), SLICE)
+    heads = narrow.withColumn("_from_start", from_start).where(F.col("_from_start") <= reach)
+    tails = narrow.withColumn("_from_end", from_end).where(F.col("_from_end") <= reach)
+    both = heads.unionByName(tails, allowMissingColumns=True)
+    kept = [c for c in narrow.columns if c not in keys + order + [SLICE]]
     edges = (
-        sliced.where(F.col(SLICE) > 0)
-        .select(*sources, SLICE)
-        .select("*", *ends)
-        .where((F.col("_from_start") <= reach) | (F.col("_from_end") <= reach))
-        .select("*", F.struct(*shifted(keys)).alias("_edge"))
-        .select(*keys, SLICE, "_from_start", "_edge")
+        both.groupBy(*dict.fromkeys(keys + [SLICE] + order))
+        .agg(F.max("_from_start").alias("_from_start"), F.max("_from_end").alias("_from_end"), *[F.first(c).alias(c) for c in kept])
+        .select(*keys, SLICE, "_from_start", "_from_end", F.struct(*shifted(keys)).alias("_edge"))
+    )
+    rows = F.count(F.lit(1)).over(in_slice)
+    joined = sliced.select(
+        "*", from_start.alias("_from_start"), (rows - from_start + 1).alias("_from_end"), F.struct(*shifted(keys + [SLICE])).alias("_local")
     )
-    local = sliced.select("*", *ends, F.struct(*shifted(keys + [SLICE])).alias("_local"))
-    joined = attach_summary(local, edges, keys, [SLICE, "_from_start"])
+    for place, edge in (("_from_start", "_edge_start"), ("_from_end", "_edge_end")):
+        ends = edges.where(F.col(place).isNotNull()).select(*keys, SLICE, place, F.col("_edge").alias(edge))
+        joined = attach_summary(joined, ends, keys, [SLICE, place])
 
     def pick(name: str, offset: int) -> Column:
-        at_edge = F.col("_from_start") <= offset if offset > 0 else F.col("_from_end") <= -offset
-        use_edge = (F.col(SLICE) > 0) & at_edge
-        return F.when(use_edge, F.col(f"_edge.{name}")).otherwise(F.col(f"_local.{name}")).alias(name)
+        place, edge = ("_from_start", "_edge_start") if offset > 0 else ("_from_end", "_edge_end")
+        use_edge = (F.col(SLICE) > 0) & (F.col(place) <= abs(offset))
+        return F.when(use_edge, F.col(f"{edge}.{name}")).otherwise(F.col(f"_local.{name}")).alias(name)
 
     return joined.select(*df.columns, *[pick(name, s[1]) for name, s in shifts.items()])
 
