@@ -15,7 +15,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import functions as F  # noqa: E402
 
 from ledgerline.operators import windows as win  # noqa: E402
-from ledgerline.operators.skew import HotKeyPolicy, enrich  # noqa: E402
+from ledgerline.operators.skew import HotKeyPolicy, cut_hot_keys, enrich  # noqa: E402
 from ledgerline.session import build_session, scratch_path  # noqa: E402
 from ledgerline.sources.readers import read_table  # noqa: E402
 
@@ -62,13 +62,19 @@ def main() -> None:
         "dense_index": lambda p: win.dense_index(df.select("ts", "id"), ["ts", "id"], "n", policy=p),
         "enrich": lambda p: enrich(df, facts, ["key"], "left", p),
     }
+    cuts = cut_hot_keys(df, ["key"], ["ts", "id"], sliced)
+    groups = cuts.slice_of(df).groupBy("key", "_slice").count()
+    largest = {
+        "plain": df.groupBy("key").count().agg(F.max("count")).first()[0],
+        "sliced": groups.agg(F.max("count")).first()[0],
+    }
     taken = {}
     for name, run in work.items():
         for label, policy in (("plain", PLAIN), ("sliced", sliced)):
             start = time.perf_counter()
             run(policy).write.format("noop").mode("overwrite").save()
             taken[f"{name}_{label}"] = round(time.perf_counter() - start, 2)
-    print(json.dumps({"metric": "skewed_windows", "rows": df.count(), "unit": "sec", "queries": taken}))
+    print(json.dumps({"metric": "skewed_windows", "rows": df.count(), "largest_group_rows": largest, "unit": "sec", "queries": taken}))
     spark.stop()
 
 

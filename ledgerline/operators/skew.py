@@ -36,7 +36,8 @@ class HotKeyPolicy:
     """When a key counts as hot: above both limits."""
 
     share: float = 1 / 4096
-    min_rows: int = 2_000_000
+    # Slicing costs two to three times the work, so it must not start before one task hurts.
+    min_rows: int = 10_000_000
     # Sampled rows by which a key at the limit is found, and by which one cut is placed.
     sample_per_slice: int = 200
 
@@ -88,12 +89,18 @@ class Cuts:
 
     def slice_of(self, df: DataFrame) -> DataFrame:
         """Add ``_slice``: 0 for other keys, and a number that grows along the order for hot ones."""
-        place = F.struct(HASH, *self.order)
-        below = count_at_or_below(self.points, place, self.count)
         return df.withColumn(HASH, key_hash(self.keys)).withColumn(
-            SLICE, F.when(F.col(HASH).isin(self.hot), below + 1).otherwise(0)
+            SLICE, F.when(F.col(HASH).isin(self.hot), self._place()).otherwise(0)
         )
 
+    def hot_rows(self, df: DataFrame) -> DataFrame:
+        """Only rows of hot keys, with their slice; other rows are dropped before it is looked up."""
+        hashed = df.withColumn(HASH, key_hash(self.keys))
+        return hashed.where(F.col(HASH).isin(self.hot)).withColumn(SLICE, self._place())
+
+    def _place(self) -> Column:
+        return count_at_or_below(self.points, F.struct(HASH, *self.order), self.count) + 1
+
 
 def cut_hot_keys(
     df: DataFrame,

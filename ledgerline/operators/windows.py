@@ -76,7 +76,7 @@ def rank_rows(
         return ranked(df, keys)
 
     sliced = cuts.slice_of(df)
-    hot = sliced.where(F.col(SLICE) > 0)
+    hot = cuts.hot_rows(df)
     first, last = (F.max_by, F.min_by) if descending else (F.min_by, F.max_by)
     value = F.struct(*order)
     summary = (
@@ -166,7 +166,8 @@ def shift_columns(
     from_end = F.row_number().over(in_slice.orderBy(*_directed(order, True)))
     # The first and last rows of each slice, in order, have their true neighbours
     # among themselves.  Each map task hands over at most `reach` rows per slice and end.
-    narrow = sliced.where(F.col(SLICE) > 0).select(*sorted({s[0] for s in shifts.values()} | set(order) | set(keys)), SLICE)
+    needed = sorted({s[0] for s in shifts.values()} | set(order) | set(keys))
+    narrow = cuts.hot_rows(df.select(*needed)).select(*needed, SLICE)
     heads = narrow.withColumn("_from_start", from_start).where(F.col("_from_start") <= reach)
     tails = narrow.withColumn("_from_end", from_end).where(F.col("_from_end") <= reach)
     both = heads.unionByName(tails, allowMissingColumns=True)
@@ -241,7 +242,7 @@ def running_total(
     sliced = cuts.slice_of(df)
     place = F.struct(*order)
     per_slice = (
-        sliced.where(F.col(SLICE) > 0)
+        cuts.hot_rows(df)
         .groupBy(*keys, SLICE, *order)
         .agg(F.sum(value).alias("s"))
         .groupBy(*keys, SLICE)
