@@ -50,11 +50,6 @@ def key_hash(keys: list[str]) -> Column:
     return F.xxhash64(*keys) if keys else F.lit(0).cast("long")
 
 
-def same_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    """NULL-safe equality on ``keys``, since a window treats NULL as a key."""
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys], F.lit(True))
-
-
 def find_hot_keys(
     df: DataFrame, keys: list[str], policy: HotKeyPolicy = DEFAULT_POLICY
 ) -> tuple[list[int], float]:
@@ -150,7 +145,10 @@ def _literal(rows: list, types: list[str]) -> Column:
 
 
 def attach_summary(df: DataFrame, summary: DataFrame, keys: list[str], extra: list[str]) -> DataFrame:
-    """Left join ``df`` to a summary of the slices; the summary has a proven size bound."""
+    """Left join ``df`` to a summary of the slices; the summary has a proven size bound.
+
+    Keys are compared NULL-safe, since a window treats NULL as a key.
+    """
     names = [c for c in summary.columns if c not in keys + extra]
     renamed = summary.select(*[F.col(c).alias(f"_r_{c}") for c in keys + extra], *names)
     on = [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in keys] + [F.col(c) == F.col(f"_r_{c}") for c in extra]

@@ -15,7 +15,6 @@ from pyspark.sql import Window as W
 
 from ledgerline.operators.skew import (
     DEFAULT_POLICY,
-    HASH,
     SLICE,
     HotKeyPolicy,
     attach_summary,

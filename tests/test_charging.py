@@ -2,7 +2,6 @@ import json
 from datetime import datetime
 
 import pytest
-from pyspark.sql import functions as F
 
 from ledgerline.functions.casts import exact_timestamp
 from ledgerline.operators.skew import HotKeyPolicy
