@@ -26,7 +26,8 @@ def test_life_cycle(spark, tmp_path):
 
     ch.commit(ch.update_changes(ch.as_of(log(), keys), F.col("age_group") == 4, {"firstname": F.lit("Four")}, 1, day(2)), log_path, 1)
     ch.commit(ch.delete_changes(ch.as_of(log(), keys), F.col("age_group") == 5, 2, day(3)), log_path, 2)
-    now = ch.as_of(log(), keys)
+    # Pinned: frames read before and after a commit may share scans in one plan.
+    now = ch.as_of(log(), keys, version=2)
     assert now.where("age_group = 5").isEmpty() and now.where("age_group = 4 AND firstname <> 'Four'").isEmpty()
 
     updates = now.where("id < 3").withColumn("firstname", F.lit("Marco")).unionByName(
@@ -37,6 +38,7 @@ def test_life_cycle(spark, tmp_path):
         ch.enforce_check(updates.withColumn("id", F.lit(None).cast("long")), "id_not_null", F.col("id").isNotNull())
     merged = ch.merge_upsert(now, updates, keys)
     ch.commit(ch.merge_changes(now, updates, keys, 3, day(4)), log_path, 3)
+    assert ch.as_of(log(), keys).exceptAll(merged.select(now.columns)).isEmpty()
     assert sorted(ch.as_of(log(), keys).collect()) == sorted(merged.select(now.columns).collect())
 
     ch.commit(ch.restore_changes(log(), keys, 0, 3, day(5)), log_path, 4)
