@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import curve_packing, exact_dedup, mixing, near_dedup, quality
+from ledgerline.llm import best_fit, curve_packing, exact_dedup, licences, mixing, near_dedup, quality, repeats, top_k, wrappers
 from ledgerline.llm.common import table
 
 
+def op1_wrapper_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.extract_main_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix_sources(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "source", *mixing.OUT)
@@ -28,6 +32,23 @@ def op5_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curve_packing.piece_digests(curve_packing.pack_along_curve(table(spark, sf_dir, "documents")))
 
 
+def op6_prefix_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op7_best_fit_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit.matrix_digests(best_fit.packed_matrix(table(spark, sf_dir, "documents")))
+
+
+def op8_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.find_licences(table(spark, sf_dir, "documents"))
+
+
+def op9_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k.search(table(spark, sf_dir, "documents"), F.col("doc_id") % 50 == 0)
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     digest = F.sha2(exact_dedup.normalised("text"), 256)
@@ -42,7 +63,46 @@ SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
 FROM t WINDOW w AS (PARTITION BY norm)
 """
 
+
+def _values(rows: list[tuple[str, str]]) -> str:
+    return ", ".join("('{}', '{}')".format(*(v.replace("'", "''") for v in row)) for row in rows)
+
+
+OP8_SQL = rf"""
+WITH template AS (
+  SELECT licence, list(bigram) AS grams, count(*) AS n
+  FROM (VALUES {_values([(n, g) for n, t in licences.TEMPLATES.items() for g in licences.template_bigrams(t)])}) v(licence, bigram) GROUP BY licence),
+parts AS (
+  SELECT doc_id, 'line' AS kind, string_split(text, chr(10)) AS p FROM documents
+  UNION ALL SELECT doc_id, 'paragraph', string_split(text, chr(10) || chr(10)) FROM documents WHERE contains(text, chr(10) || chr(10))),
+units AS (SELECT doc_id, kind, unnest(p) AS t, generate_subscripts(p, 1) - 1 AS unit FROM parts),
+words AS (
+  SELECT doc_id, kind, unit, regexp_extract_all(translate(t, '{licences.UPPER}', '{licences.LOWER}'), '[a-z0-9]+') AS w
+  FROM units WHERE kind = 'line' OR contains(t, chr(10))),
+grams AS (SELECT doc_id, kind, unit, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS g FROM words WHERE len(w) > 1),
+scored AS (
+  SELECT doc_id, kind, unit, licence, 2.0::DOUBLE * len(list_intersect(g, grams)) / (len(g) + n) AS dice
+  FROM grams JOIN template ON len(g) BETWEEN n / 1.5 - 0.001 AND n * 1.5 + 0.001)
+SELECT doc_id, kind, unit, licence, dice FROM scored WHERE dice >= 0.8
+"""
+
+OP9_SQL = rf"""
+WITH found AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, '{licences.UPPER}', '{licences.LOWER}'), '[^\x00-\x20!-/:-@\[-`{{-~\x7f]+')) AS term FROM documents),
+posting AS (SELECT doc_id, term, count(*) AS tf FROM found GROUP BY ALL),
+lengths AS (SELECT doc_id, sum(tf) AS len FROM posting GROUP BY doc_id),
+totals AS (SELECT count(*) AS n, (SELECT sum(len) FROM lengths) / count(*) AS mean FROM documents),
+frequency AS (SELECT term, ln(1 + (any_value(n) - count(*) + 0.5) / (count(*) + 0.5)) AS idf FROM posting, totals GROUP BY term),
+scored AS (
+  SELECT q.doc_id AS query_id, p.doc_id,
+         round(sum(q.tf * idf * p.tf * 2.2 / (p.tf + 1.2 * (0.25 + 0.75 * len / mean))), 6) AS score
+  FROM posting q JOIN posting p USING (term) JOIN frequency USING (term) JOIN lengths l ON l.doc_id = p.doc_id, totals
+  WHERE q.doc_id % 50 = 0 GROUP BY ALL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM scored)
+SELECT query_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
 QUERIES = {
-    f.__name__: f for f in (op2_mix_sources, op3_quality_votes, op4_odd_sketches, op5_curve_packing, op10_exact_dedup)
+    f.__name__: f for f in (op1_wrapper_text, op2_mix_sources, op3_quality_votes, op4_odd_sketches, op5_curve_packing, op6_prefix_doubling, op7_best_fit_matrix, op8_licence_scan, op9_top_k_search, op10_exact_dedup)
 }
-ORACLES = {"op10_exact_dedup": OP10_SQL}
+ORACLES = {"op8_licence_scan": OP8_SQL, "op9_top_k_search": OP9_SQL, "op10_exact_dedup": OP10_SQL}
