@@ -39,3 +39,10 @@ def text_bytes(df: DataFrame, text_col: str) -> int:
 def width(amount: float, per_task: float, least: int = 1) -> int:
     """Number of partitions so that each gets about ``per_task`` of ``amount``."""
     return max(least, int(-(-amount // per_task)))
+
+
+def small_or_plain(df: DataFrame, label: str, rows: int = 1_000_000) -> DataFrame:
+    """A frame of a few short columns for one side of a join: stored, counted, and marked for
+    broadcast only up to ``rows`` rows (some 50 MB). Beyond that the join shuffles."""
+    kept = stored(df, label)
+    return F.broadcast(kept) if kept.count() <= rows else kept

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import plain_text, without
+from ledgerline.llm.common import plain_text, small_or_plain, stored, without
 
 WHITE = r"[\x20\x09-\x0D]+"
 OUT = ("keep_id", "group_size", "kept")
@@ -42,6 +42,7 @@ def duplicate_members(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     more = F.count(F.lit(1)).alias("_n")
     lengths = rows.groupBy("_length").agg(more).where("_n > 1").select("_length")
     heads = rows.join(lengths, "_length", "left_semi").groupBy(*_KEY).agg(more).where("_n > 1").select(*_KEY)
+    heads = small_or_plain(heads, "exact-heads")
     full = rows.join(heads, list(_KEY), "left_semi").select("_id", *_KEY, F.sha2("_norm", 256).alias("_digest"))
     per_id = full.groupBy("_id", *_KEY, "_digest").agg(F.count(F.lit(1)).alias("_same"))
     groups = per_id.groupBy(*_KEY, "_digest").agg(F.min("_id").alias("keep_id"), F.sum("_same").alias("group_size"))
@@ -79,10 +80,25 @@ def with_verdict(
     )
 
 
-def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows that stay, with the columns of the input."""
-    kept = with_verdict(docs.select(*[F.col(f"`{c}`").alias(f"c{i}_{c}") for i, c in enumerate(docs.columns)]),
-                        *[f"c{docs.columns.index(c)}_{c}" for c in (id_col, text_col)]).where("kept")
-    once = kept.where("_same = 1 OR _id IS NULL")
-    again = kept.where("_same > 1 AND _id IS NOT NULL").dropDuplicates(["_id", *_KEY])
-    return once.unionByName(again).select(*[F.col(f"`c{i}_{c}`").alias(c) for i, c in enumerate(docs.columns)])
+def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", head: int = 128) -> DataFrame:
+    """The rows that stay, with the columns of the input; texts move only if very many rows go."""
+    members = stored(duplicate_members(docs, id_col, text_col, head), "exact-members")
+    gone = members.where("NOT _id <=> keep_id").select("_id", *_KEY)
+    twice = members.where("_id <=> keep_id AND _same > 1 AND _id IS NOT NULL").select("_id", *_KEY)
+    norm = normalised(text_col)
+    at = [F.col(id_col), F.octet_length(norm), F.xxhash64(F.substring(norm, 1, head))]
+
+    def meet(side: DataFrame):
+        on = at[0].eqNullSafe(side["_id"])
+        for c, name in zip(at[1:], _KEY):
+            on = on & (c == side[name])
+        return on
+
+    both = small_or_plain(gone.union(twice), "exact-gone")
+    rest = docs.join(both, meet(both), "left_anti")
+    some = small_or_plain(twice, "exact-twice")
+    names = [f"c{i}_{c}" for i, c in enumerate(docs.columns)]
+    again = docs.join(some, meet(some), "left_semi").toDF(*names)
+    where = [names[docs.columns.index(c)] for c in (id_col, text_col)]
+    again = again.withColumn("_norm", normalised(where[1])).dropDuplicates([where[0], "_norm"]).select(*names)
+    return rest.union(again.toDF(*docs.columns))
