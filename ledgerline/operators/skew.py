@@ -168,8 +168,15 @@ def enrich(
 
     Adaptive execution cannot split a hot key when the other side comes straight
     out of an aggregate on that key, so hot keys are taken out and joined by
-    broadcast: at most one row each, fewer than ``1/share`` rows.
+    broadcast: at most one row each, fewer than ``1/share`` rows. NULL keys match
+    nothing, so a left join carries their rows past the join.
     """
+    if how == "left":
+        named = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+        gained = [F.lit(None).cast(f.dataType).alias(f.name) for f in facts.schema.fields if f.name not in keys]
+        met = enrich(df.where(named), facts, keys, "inner_left", policy, hot_from)
+        return met.unionByName(df.where(~named).select("*", *gained))
+    how = "left" if how == "inner_left" else how
     hot, _ = find_hot_keys(df if hot_from is None else hot_from, keys, policy)
     if not hot:
         return df.join(facts, keys, how)

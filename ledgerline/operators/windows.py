@@ -341,9 +341,9 @@ def state_islands(df: DataFrame, key: str, ts: str, state: Column) -> DataFrame:
     """One row per run of equal state: key, island number, state, first and last time, readings.
 
     The island number is the running count of state changes, where the row before
-    the first counts as state false.
+    the first counts as state false, and so does a row without a state.
     """
-    flagged = df.select(key, ts, state.cast("int").alias("state"))
+    flagged = df.select(key, ts, F.coalesce(state, F.lit(False)).cast("int").alias("state"))
     changed = shift_columns(flagged, [key], [ts], {"_before": ("state", 1, 0)}).withColumn(
         "_change", F.abs(F.col("state") - F.col("_before"))
     )

@@ -115,13 +115,13 @@ def matched_stops(stops: DataFrame, starts: DataFrame, keep_stop_keys: bool = Fa
     """Every stop with its start.
 
     Transaction and charge point come from the start, so they are NULL for a stop
-    without one; with ``keep_stop_keys`` they come from the stop.
+    without one; with ``keep_stop_keys`` the charge point comes from the stop.
     """
     s, b = stops.alias("s"), starts.alias("b")
     side = "s" if keep_stop_keys else "b"
     return s.join(b, F.col("s.transaction_id") == F.col("b.transaction_id"), "left").select(
         f"{side}.charge_point_id",
-        f"{side}.transaction_id",
+        "b.transaction_id",
         "b.meter_start",
         "s.meter_stop",
         "b.start_timestamp",
@@ -162,6 +162,7 @@ def charge_records(
     unit: str = "kWh",
     policy: HotKeyPolicy = DEFAULT_POLICY,
     metered: DataFrame | None = None,
+    keep_stop_keys: bool = False,
 ) -> DataFrame:
     """Charge records with all nine columns from the four cleaned tables.
 
@@ -170,14 +171,14 @@ def charge_records(
     """
     starts = matched_starts(starts_named, starts_asked, how)
     return (
-        matched_stops(stops, starts)
+        matched_stops(stops, starts, keep_stop_keys)
         .transform(with_totals, unit)
         .transform(with_parking, parking_time(samples, policy, metered), policy, stops.select("transaction_id"))
     )
 
 
 def charge_records_from_log(log: DataFrame, policy: HotKeyPolicy = DEFAULT_POLICY) -> DataFrame:
-    """Charge records straight from the raw log: seven columns, energy in Wh."""
+    """Charge records straight from the raw log: seven columns, energy in Wh, the charge point of the stop."""
     readings = unpack(messages(log, "MeterValues", shape.REQUEST), "transaction_id int")
     records = charge_records(
         start_requests(log),
@@ -188,6 +189,7 @@ def charge_records_from_log(log: DataFrame, policy: HotKeyPolicy = DEFAULT_POLIC
         "Wh",
         policy,
         readings.select("new_body.transaction_id"),
+        keep_stop_keys=True,
     )
     return records.select(*SHORT_RECORD)
 

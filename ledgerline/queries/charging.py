@@ -187,7 +187,7 @@ def _record(kind: str) -> str:
     return (
         WITH
         + f"""
-        SELECT b.charge_point_id, b.transaction_id, {meters} b.start_timestamp, s.stop_timestamp,
+        SELECT {'b' if kind == 'left' else 's'}.charge_point_id, b.transaction_id, {meters} b.start_timestamp, s.stop_timestamp,
                round(date_diff('second', b.start_timestamp, s.stop_timestamp) / 3600.0, 2) AS total_time,
                {energy} AS total_energy, p.total_parking_time
         FROM stops s LEFT JOIN {starts} b ON s.transaction_id = b.transaction_id
@@ -197,7 +197,7 @@ def _record(kind: str) -> str:
 
 
 _STOP_START = """
-    SELECT {side}.charge_point_id, {side}.transaction_id, b.meter_start, s.meter_stop, b.start_timestamp,
+    SELECT {side}.charge_point_id, b.transaction_id, b.meter_start, s.meter_stop, b.start_timestamp,
            s.stop_timestamp
     FROM stops s LEFT JOIN starts b ON s.transaction_id = b.transaction_id
 """

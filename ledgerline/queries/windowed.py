@@ -72,6 +72,14 @@ def idle_islands(spark: SparkSession, sf: str) -> DataFrame:
     return islands.withColumns({c: wall_clock(c) for c in ("first_ts", "last_ts")})
 
 
+def idle_islands_nulls(spark: SparkSession, sf: str) -> DataFrame:
+    """Some readings are missing; they count as idle."""
+    value = F.when(F.col("event_id") % 7 != 0, F.col("value"))
+    events = read_table(spark, sf, "events").select("user_id", "ts", value.alias("value"))
+    islands = win.state_islands(events, "user_id", "ts", F.col("value") > 50)
+    return islands.withColumns({c: wall_clock(c) for c in ("first_ts", "last_ts")})
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -85,6 +93,7 @@ QUERIES = {
         win_running_total,
         idle_time,
         idle_islands,
+        idle_islands_nulls,
     )
 }
 
@@ -136,4 +145,12 @@ ORACLES = {
     "idle_islands": f"""
         SELECT user_id, CAST(island AS BIGINT) AS island, CAST(state AS INTEGER) AS state, min(ts) AS first_ts,
                max(ts) AS last_ts, count(*) AS readings FROM ({_ISLANDS}) GROUP BY user_id, island, state""",
+    "idle_islands_nulls": """
+        WITH seen AS (SELECT user_id, ts, CASE WHEN event_id % 7 <> 0 THEN value END > 50 AS state FROM events),
+        steps AS (
+            SELECT user_id, ts, CAST(coalesce(state, false) AS INTEGER) AS state,
+                   lag(CAST(coalesce(state, false) AS INTEGER), 1, 0) OVER (PARTITION BY user_id ORDER BY ts) AS before FROM seen),
+        numbered AS (SELECT *, sum(abs(state - before)) OVER (PARTITION BY user_id ORDER BY ts) AS island FROM steps)
+        SELECT user_id, CAST(island AS BIGINT) AS island, CAST(state AS INTEGER) AS state, min(ts) AS first_ts,
+               max(ts) AS last_ts, count(*) AS readings FROM numbered GROUP BY user_id, island, state""",
 }
