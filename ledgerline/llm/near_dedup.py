@@ -5,7 +5,9 @@ class; one representative of each goes on. ``SAMPLES`` MinHash values per class
 ``BANDS`` band keys, and are folded into a bitmap of parities (an odd sketch): each
 sample flips one bit, so equal samples cancel in the XOR of two sketches and the number
 of set bits tells how many samples differ. Candidate pairs whose XOR has more than
-``MOST_ODD`` bits are dropped, the others are confirmed on their full sets.
+``MOST_ODD`` bits are dropped. A second odd sketch folds the whole set, four bits to a
+shingle: the bits of its XOR never outnumber the shingles in which two sets differ, so
+it drops pairs without any loss. What is left is confirmed on the full sets.
 
 Links, without all pairs of a bucket:
 
@@ -16,7 +18,7 @@ Links, without all pairs of a bucket:
    components that pass the sketch leave a task, and are confirmed.
 
 Two classes of similarity 0.8 share no band with probability (1 - 0.8**4)**32 = 5e-8, and the
-sketch bound lies above six standard deviations; both are properties of the method.
+bound on the samples' sketch lies above six standard deviations; both are properties of the method.
 
 Defined cases: only A-Z are lowered and only ASCII white space separates words; a text
 with fewer words than a shingle is one shingle; a text without words has an empty set and
@@ -27,8 +29,6 @@ text are read, so other columns cannot clash. An empty table gives an empty resu
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
-from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.llm.common import stored
+from ledgerline.llm.common import small_or_plain, stored
 
 SAMPLES, BANDS, SKETCH_WORDS = 128, 32, 8
 MOST_ODD = 120  # of 512 bits
@@ -106,19 +106,61 @@ def odd_sketch(samples: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
 
 
+def whole_sketch(shingles: np.ndarray) -> np.ndarray:
+    """Parities of all shingles; twice as many bits for twice as many shingles, so a long one folds to a short one."""
+    size = max(64, 1 << (4 * len(shingles) - 1).bit_length())
+    odd = np.bincount((shingles & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
+
+
+def folded(sketches: np.ndarray, words: int) -> np.ndarray:
+    """Rows of whole sketches at a smaller size."""
+    while sketches.shape[1] > words:
+        half = sketches.shape[1] // 2
+        sketches = sketches[:, :half] ^ sketches[:, half:]
+    return sketches
+
+
+class Sketches:
+    """Sketches of some documents; tells which of them can be similar to one of them."""
+
+    def __init__(self, n: list, samples: list[bytes], whole: list[bytes], percent: int):
+        self.n, self.percent = np.array(n, np.int64), percent
+        self.samples = np.frombuffer(b"".join(samples), np.uint64).reshape(len(n), SKETCH_WORDS)
+        self.words = np.array([len(w) // 8 for w in whole], np.int64)
+        self.whole = [np.frombuffer(w, np.uint64)[None, :] for w in whole]
+        self.at: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for size in np.unique(self.words):
+            which = np.flatnonzero(self.words == size)
+            self.at[int(size)] = which, np.concatenate([self.whole[i] for i in which])
+
+    def similar(self, k: int, among: np.ndarray) -> np.ndarray:
+        n, p = self.n, self.percent
+        fits = among & (100 * np.minimum(n, n[k]) >= p * np.maximum(n, n[k]))
+        fits &= np.bitwise_count(self.samples ^ self.samples[k]).sum(1) <= MOST_ODD
+        for size, (which, rows) in self.at.items():
+            mine = fits[which]
+            if mine.any():
+                words = min(size, int(self.words[k]))
+                odd = folded(rows[mine], words) ^ folded(self.whole[k], words)
+                apart = np.bitwise_count(odd).sum(1).astype(np.int64)
+                fits[which[mine]] = (100 + p) * apart <= (100 - p) * (n[which[mine]] + n[k])
+        return np.flatnonzero(fits)
+
+
 def signatures(docs: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame:
-    """``id``, ``n`` shingles, ``set_a`` and ``set_b`` (a hash of the set), ``bands`` and ``sketch``."""
+    """``id``, ``n`` shingles, ``set_a`` and ``set_b`` (a hash of the set), ``bands`` and the sketches ``samples`` and ``whole``."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     schema = T.StructType([
         rows.schema["id"], T.StructField("n", T.LongType()), T.StructField("set_a", T.LongType()), T.StructField("set_b", T.LongType()),
-        T.StructField("bands", T.ArrayType(T.LongType())), T.StructField("sketch", T.ArrayType(T.LongType())),
+        T.StructField("bands", T.ArrayType(T.LongType())), T.StructField("samples", T.BinaryType()), T.StructField("whole", T.BinaryType()),
     ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
                 b = whole.slice(at, 256)
-                n, a, c, bands, sketch = [], [], [], [], []
+                n, a, c, bands, samples, whole_ = [], [], [], [], [], []
                 for t in b.column(1).to_pylist():
                     s = shingle_set(t, words)
                     d = xxhash.xxh3_128_intdigest(s.tobytes())
@@ -127,10 +169,11 @@ def signatures(docs: DataFrame, words: int, id_col: str, text_col: str) -> DataF
                     c.append((d & (2**64 - 1)) - 2**63)
                     low = min_hashes(s) if len(s) else None
                     bands.append(band_keys(low) if len(s) else [])
-                    sketch.append(odd_sketch(low) if len(s) else [])
-                many = pa.list_(pa.int64())
-                cols = [b.column(0), *(pa.array(x, pa.int64()) for x in (n, a, c)), pa.array(bands, many), pa.array(sketch, many)]
-                yield pa.RecordBatch.from_arrays(cols, names=["id", "n", "set_a", "set_b", "bands", "sketch"])
+                    samples.append(odd_sketch(low).tobytes() if len(s) else b"")
+                    whole_.append(whole_sketch(s).tobytes() if len(s) else b"")
+                cols = [b.column(0), *(pa.array(x, pa.int64()) for x in (n, a, c)), pa.array(bands, pa.list_(pa.int64()))]
+                cols += [pa.array(samples, pa.binary()), pa.array(whole_, pa.binary())]
+                yield pa.RecordBatch.from_arrays(cols, names=["id", "n", "set_a", "set_b", "bands", "samples", "whole"])
 
     return rows.mapInArrow(run, schema)
 
@@ -154,9 +197,9 @@ def components(edges: DataFrame, label: str) -> DataFrame:
         state = now.select("v", "root")
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, reps: DataFrame, words: int, id_col: str, text_col: str, percent: int) -> DataFrame:
+def _confirmed(pairs: DataFrame, docs: DataFrame, words: int, id_col: str, text_col: str, percent: int) -> DataFrame:
     """Those pairs (``a``, ``b``) whose full sets meet the similarity."""
-    ends = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    ends = small_or_plain(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "near-ends")
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     schema = T.StructType([texts.schema["id"], T.StructField("h", T.ArrayType(T.LongType()))])
 
@@ -174,31 +217,37 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, reps: DataFrame, words: int, i
     return full.where(100 * both >= percent * (F.size("ha") + F.size("hb") - both)).select("a", "b")
 
 
-def _odd_bits(a: str, b: str):
-    return reduce(add, [F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(SKETCH_WORDS)])
-
-
-def _star_pairs(buckets: DataFrame, full: DataFrame, reps: DataFrame) -> DataFrame:
+def _star_pairs(buckets: DataFrame, full: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     """Each class of a bucket with the bucket's first class, once, where sketches allow."""
     pairs = buckets.join(full.select("key", F.col("first").alias("a")), "key").where("id != a")
     pairs = pairs.select("a", F.col("id").alias("b")).distinct()
-    pairs = pairs.join(reps.select(F.col("id").alias("a"), F.col("sketch").alias("sa")), "a")
-    pairs = pairs.join(reps.select(F.col("id").alias("b"), F.col("sketch").alias("sb")), "b")
-    return pairs.where(_odd_bits("sa", "sb") <= MOST_ODD).select("a", "b")
+    for end in "ab":
+        side = reps.select(F.col("id").alias(end), F.col("n").alias(f"n{end}"), F.col("samples").alias(f"s{end}"), F.col("whole").alias(f"w{end}"))
+        pairs = pairs.join(side, end)
+    pairs = pairs.select("a", "b", "na", "nb", "sa", "sb", "wa", "wb")
+
+    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for n1, n2, s1, s2, w1, w2 in zip(*(batch.column(k).to_pylist() for k in range(2, 8))):
+                keep.append(len(Sketches([n1, n2], [s1, s2], [w1, w2], percent).similar(0, np.array([False, True]))) > 0)
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return pairs.mapInArrow(test, T.StructType([pairs.schema["a"], pairs.schema["b"]]))
 
 
-def _block_pairs(buckets: DataFrame, reps: DataFrame, roots: DataFrame) -> DataFrame:
+def _block_pairs(buckets: DataFrame, reps: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
     """Pairs of different components in one bucket that pass the sketch; blocks of a bucket meet block by block."""
     named = buckets.join(roots.select(F.col("v").alias("id"), "root"), "id", "left")
     named = named.select("key", "id", F.coalesce("root", "id").alias("root"))
     open_ = named.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi"))
     open_ = open_.where("lo != hi").select("key", F.ceil(F.col("n") / BLOCK).alias("blocks"))
-    rows = named.join(open_, "key").join(reps.select("id", "sketch"), "id")
+    rows = named.join(open_, "key").join(reps.select("id", F.col("n").alias("size"), "samples", "whole"), "id")
     mine = F.pmod(F.xxhash64("id"), "blocks")
     spread = rows.withColumn("mine", mine).select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     spread = spread.select(
         "key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
-        F.struct("id", "root", "mine", "sketch").alias("m"),
+        F.struct("id", "root", "mine", "size", "samples", "whole").alias("m"),
     )
     met = spread.groupBy("key", "i", "j").agg(F.collect_list("m").alias("m")).select("i", "j", "m")
     kind = reps.schema["id"].dataType
@@ -207,22 +256,20 @@ def _block_pairs(buckets: DataFrame, reps: DataFrame, roots: DataFrame) -> DataF
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, m in zip(*(batch.column(k).to_pylist() for k in range(3))):
-                sk = np.array([x["sketch"] for x in m], np.int64).view(np.uint64)
+                sketches = Sketches(*([x[c] for x in m] for c in ("size", "samples", "whole")), percent)
                 ids = [x["id"] for x in m]
                 _, root = np.unique(np.array([str(x["root"]) for x in m]), return_inverse=True)
-                block = np.array([x["mine"] for x in m])
+                block, place = np.array([x["mine"] for x in m]), np.arange(len(m))
                 a: list = []
                 b: list = []
-                for k in range(len(m)):
+                for k in place:
                     if i != j and block[k] != i:
                         continue
-                    odd = np.bitwise_count(sk ^ sk[k]).sum(1)
-                    fits = (odd <= MOST_ODD) & (root != root[k]) & ((block == j) if i != j else (np.arange(len(m)) > k))
-                    for t in np.flatnonzero(fits):
+                    for t in sketches.similar(k, (root != root[k]) & ((block == j) if i != j else (place > k))):
                         a.append(min(ids[k], ids[t]))
                         b.append(max(ids[k], ids[t]))
-                cols = [pa.array(a, batch.schema.field(2).type.value_type.field("id").type), pa.array(b, batch.schema.field(2).type.value_type.field("id").type)]
-                yield pa.RecordBatch.from_arrays(cols, names=["a", "b"])
+                arrow = batch.schema.field(2).type.value_type.field("id").type
+                yield pa.RecordBatch.from_arrays([pa.array(a, arrow), pa.array(b, arrow)], names=["a", "b"])
 
     return met.mapInArrow(compare, schema).distinct()
 
@@ -232,18 +279,18 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     marks = stored(signatures(docs, words, id_col, text_col), "near-signatures")
     usable = marks.where("n > 0 AND id IS NOT NULL")
     key = ["set_a", "set_b", "n"]
-    classes = usable.groupBy(*key).agg(F.min("id").alias("rep"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
-    reps = stored(classes.select(*key, F.col("rep").alias("id"), "bands", "sketch"), "near-classes")
+    classes = usable.groupBy(*key).agg(F.min("id").alias("rep"), *[F.first(c).alias(c) for c in ("bands", "samples", "whole")])
+    reps = stored(classes.withColumnRenamed("rep", "id"), "near-classes")
     buckets = reps.select("id", F.explode("bands").alias("key"))
     full = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first")).where("n > 1")
     full = stored(full.select("key", "first"), "near-buckets")
     shared = stored(buckets.join(full, "key", "left_semi"), "near-members")
-    first = stored(_star_pairs(shared, full, reps), "near-pairs")
-    links = stored(_confirmed(first, docs, reps, words, id_col, text_col, percent), "near-links")
+    first = stored(_star_pairs(shared, full, reps, percent), "near-pairs")
+    links = stored(_confirmed(first, docs, words, id_col, text_col, percent), "near-links")
     roots = components(links, "near-roots")
-    later = stored(_block_pairs(shared, reps, roots).join(first, ["a", "b"], "left_anti"), "near-pairs")
+    later = stored(_block_pairs(shared, reps, roots, percent).join(first, ["a", "b"], "left_anti"), "near-pairs")
     if not later.isEmpty():
-        more = stored(_confirmed(later, docs, reps, words, id_col, text_col, percent), "near-links")
+        more = stored(_confirmed(later, docs, words, id_col, text_col, percent), "near-links")
         if not more.isEmpty():
             roots = components(links.union(more), "near-roots")
     named = reps.select(*key, "id").join(roots.select(F.col("v").alias("id"), "root"), "id", "left")
@@ -259,4 +306,5 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
 def drop_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of which no near duplicate with a smaller id is linked, with the columns of the input."""
     dropped = near_duplicates(docs, words, percent, id_col, text_col).where("NOT kept").select(F.col(id_col).alias("_dropped"))
+    dropped = small_or_plain(dropped.where("_dropped IS NOT NULL").distinct(), "near-dropped")
     return docs.join(dropped, docs[f"`{id_col}`"] == F.col("_dropped"), "left_anti")
