@@ -104,34 +104,39 @@ def _first_ranks(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, T.StructType([T.StructField("rank", T.LongType()), docs.schema["id"]]))
 
 
-_CONTEXT = T.StructType([T.StructField("rank", T.LongType()), T.StructField("id", T.LongType()), T.StructField("pos", T.LongType()),
-                         T.StructField("left", T.IntegerType()), T.StructField("right", T.IntegerType()), T.StructField("around", T.BinaryType())])
+_CONTEXT = T.StructType([T.StructField("rank", T.LongType()), T.StructField("id", T.LongType()), T.StructField("left", T.ByteType()),
+                         T.StructField("right", T.ByteType()), T.StructField("around", T.BinaryType()), T.StructField("at", T.BinaryType())])
 
 
 def _contexts(rows: DataFrame) -> DataFrame:
-    """The bytes around every position whose rank is shared (rows: id, text, ranks)."""
+    """The bytes around every position whose rank is shared (rows: id, text, ranks), once for all the
+    positions of a document that look alike, so a line said a thousand times is one row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for from_ in range(0, whole.num_rows, 64):
                 b = whole.slice(from_, 64)
-                parts = []
+                parts, where = [], []
                 for doc, text, ranks in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
                     data = _bytes(text)
                     at, h = anchors(data)
                     mine = np.isin(h.view(np.int64), ranks.values.to_numpy())
                     at, h = at[mine], h[mine]
-                    padded = np.pad(data, REACH)
-                    around = np.lib.stride_tricks.sliding_window_view(padded, LENGTH + REACH)[at]
-                    right = np.minimum(REACH, len(data) - FIRST - at)
-                    parts.append((h.view(np.int64), np.full(len(at), doc), at, np.minimum(REACH, at), right, around))
+                    if not len(at):
+                        continue
+                    around = np.lib.stride_tricks.sliding_window_view(np.pad(data, REACH), LENGTH + REACH)[at]
+                    room = np.minimum(REACH, np.stack([at, len(data) - FIRST - at], 1)).astype(np.uint8)
+                    wide = np.ascontiguousarray(np.concatenate([around, room], 1))
+                    _, one, which, n = np.unique(wide.view(f"V{wide.shape[1]}").ravel(), return_index=True, return_inverse=True, return_counts=True)
+                    alike = np.split(at[np.argsort(which, kind="stable")].astype("<u4"), np.cumsum(n)[:-1])
+                    where += [x.tobytes() for x in alike]
+                    parts.append((h[one].view(np.int64), np.full(len(one), doc, np.int64), room[one, 0].view(np.int8), room[one, 1].view(np.int8), around[one]))
                 if not parts:
                     continue
                 cols = [np.concatenate(x) for x in zip(*parts)]
                 wide = np.ascontiguousarray(cols.pop())
                 fixed = pa.FixedSizeBinaryArray.from_buffers(pa.binary(LENGTH + REACH), len(wide), [None, pa.py_buffer(wide)])
-                cols = [pa.array(c.astype(t)) for c, t in zip(cols, (np.int64, np.int64, np.int64, np.int32, np.int32))]
-                yield pa.RecordBatch.from_arrays([*cols, fixed.cast(pa.binary())], names=_CONTEXT.names)
+                yield pa.RecordBatch.from_arrays([*map(pa.array, cols), fixed.cast(pa.binary()), pa.array(where, pa.binary())], names=_CONTEXT.names)
 
     return rows.mapInArrow(run, _CONTEXT)
 
@@ -165,13 +170,20 @@ def _covered(contexts: DataFrame, tasks: int) -> DataFrame:
         if not got:
             return
         whole = pa.Table.from_batches(got)
-        ids, pos = whole["id"].to_numpy(), whole["pos"].to_numpy()
+        ids = whole["id"].to_numpy()
         around = np.frombuffer(b"".join(whole["around"].to_pylist()), np.uint8).reshape(len(ids), -1)
         hit = covered_offsets(ids, whole["left"].to_numpy(), whole["right"].to_numpy(), around)
         edge = np.diff(np.pad(hit.astype(np.int8), ((0, 0), (1, 1))), axis=1)
         row, low = np.nonzero(edge == 1)
         _, high = np.nonzero(edge == -1)
-        yield pa.RecordBatch.from_arrays([pa.array(ids[row]), pa.array(pos[row] - high + 1), pa.array(pos[row] - low + LENGTH)], names=_SPANS.names)
+        at = [np.frombuffer(x, "<u4").astype(np.int64) for x in whole["at"].to_pylist()]
+        n = np.array([len(at[r]) for r in row], np.int64)
+        pos = np.concatenate([at[r] for r in row]) if len(row) else np.zeros(0, np.int64)
+        row, low, high = (np.repeat(x, n) for x in (row, low, high))
+        for cut in range(0, len(pos), 100_000):
+            part = slice(cut, cut + 100_000)
+            cols = ids[row[part]], pos[part] - high[part] + 1, pos[part] - low[part] + LENGTH
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=_SPANS.names)
 
     return contexts.repartition(tasks, "rank").mapInArrow(run, _SPANS)
 
@@ -185,14 +197,18 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     copies = digests.join(first, "digest").where("id > first").select("id").distinct()
     copies = small_or_plain(copies, "repeat-copies")
 
+    # Dealt by id once: the same exchange serves the search for contexts and the cutting.
+    named = rows.where("id IS NOT NULL").repartition(tasks, "id")
     ranked = rows.where("id IS NOT NULL").join(copies, "id", "left_anti")
     same = W.partitionBy("rank")
     pairs = _first_ranks(ranked).repartition(tasks, "rank")
     pairs = pairs.select("rank", "id", F.min("id").over(same).alias("lo"), F.max("id").over(same).alias("hi")).where("lo < hi")
     shared = pairs.groupBy("id").agg(F.collect_list("rank").alias("ranks"))
-    spans = _covered(_contexts(rows.join(shared, "id")), tasks)
+    spans = _covered(_contexts(named.join(shared, "id").select("id", "text", "ranks")), tasks)
     per_doc = spans.groupBy("id").agg(F.collect_list(F.struct("from", "to")).alias("spans"))
-    marked = rows.join(per_doc, "id", "left").join(copies.withColumn("copy", F.lit(True)), "id", "left").select("id", "text", "spans", "copy")
+    marked = named.join(per_doc, "id", "left").join(copies.withColumn("copy", F.lit(True)), "id", "left").select("id", "text", "spans", "copy")
+    unnamed = rows.where("id IS NULL").select("id", "text", F.lit(None).cast(per_doc.schema["spans"].dataType).alias("spans"), F.lit(None).cast("boolean").alias("copy"))
+    marked = marked.union(unnamed)
     schema = T.StructType([T.StructField(id_col, T.LongType()), T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()),
                            T.StructField("n_spans", T.LongType()), T.StructField("kept", T.BinaryType())])
 
