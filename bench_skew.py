@@ -19,7 +19,7 @@ from ledgerline.operators.skew import HotKeyPolicy, cut_hot_keys, enrich  # noqa
 from ledgerline.session import build_session, scratch_path  # noqa: E402
 from ledgerline.sources.readers import read_table  # noqa: E402
 
-PLAIN = HotKeyPolicy(min_rows=1 << 60)
+PLAIN = HotKeyPolicy(share=1.0)
 
 
 def main() -> None:
@@ -48,7 +48,7 @@ def main() -> None:
         F.col("l_extendedprice").alias("value"),
     ).repartition(16).write.parquet(path)
     df = spark.read.parquet(path)
-    sliced = HotKeyPolicy(share=1 / 256, min_rows=df.count() // 256)
+    sliced = HotKeyPolicy(share=1 / 256)
     facts = df.groupBy("key").agg(F.max("value").alias("top")).persist()
     facts.count()
 

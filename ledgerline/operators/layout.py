@@ -7,55 +7,60 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql import Window as W
 
 from ledgerline.functions.search import count_at_or_below
 
+# Sampled rows the cut points are taken from, and the bits of one cluster number.
+SAMPLE_ROWS = 100_000
+NUMBER_BITS = 62
 
-# Sampled rows the cut points are taken from.
-SAMPLE_ROWS = 500_000
 
-
-def ordinal(df: DataFrame, column: str) -> Column:
-    """A number that never decreases along the column's order."""
+def ordered_value(df: DataFrame, column: str) -> Column:
+    """The column, or a number in its order, as a value that a literal can hold exactly; text stays text."""
     kind = df.schema[column].dataType
     c = F.col(column)
-    if isinstance(kind, T.NumericType):
-        return c.cast("double")
+    if isinstance(kind, (T.NumericType, T.StringType)):
+        return c
     if isinstance(kind, T.DateType):
-        return F.unix_date(c).cast("double")
+        return F.unix_date(c)
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(c.cast("timestamp")).cast("double")
+        return F.unix_micros(c.cast("timestamp"))
     if isinstance(kind, T.BooleanType):
-        return c.cast("int").cast("double")
-    if isinstance(kind, T.StringType):
-        head = F.rpad(F.substring(F.encode(c, "UTF-8"), 1, 7), F.lit(7), F.lit(bytearray(1)))
-        return F.conv(F.hex(head), 16, 10).cast("double")
+        return c.cast("int")
     raise TypeError(f"cannot cluster by {column}: {kind.simpleString()}")
 
 
+def _cut_points(sample: DataFrame, column: str, cuts: int) -> list:
+    """At most ``cuts`` values that part the sampled ones evenly; the sample has a fixed size."""
+    tile = F.ntile(cuts + 1).over(W.partitionBy(F.lit(0)).orderBy(column))
+    tiles = sample.where(F.col(column).isNotNull()).select(column, tile.alias("_tile"))
+    firsts = tiles.groupBy("_tile").agg(F.min(column).alias("_first")).where("_tile > 1")
+    return [r[0] for r in firsts.select("_first").distinct().collect()]
+
+
 def with_cluster_number(df: DataFrame, columns: list[str], out: str, bits: int = 6) -> DataFrame:
     """Add a number made of the bits of each column's quantile number, in turn.
 
     Rows near each other in all columns get numbers near each other.  The quantiles
     come from a sample of fixed size; per column at most ``2**bits - 1`` cut points
-    come to the driver.
+    come to the driver.  With many columns each has fewer bits, so that all fit one number.
     """
-    if not 1 <= len(columns) <= 4:
-        raise ValueError("cluster by one to four columns")
+    if not 1 <= len(columns) <= NUMBER_BITS:
+        raise ValueError(f"cluster by one to {NUMBER_BITS} columns")
+    bits = min(bits, NUMBER_BITS // len(columns))
     cuts = (1 << bits) - 1
-    at = [(i + 1) / (cuts + 1) for i in range(cuts)]
     places = [f"_place_{i}" for i in range(len(columns))]
-    placed = df.select("*", *[ordinal(df, c).alias(p) for c, p in zip(columns, places)])
+    placed = df.select("*", *[ordered_value(df, c).alias(p) for c, p in zip(columns, places)])
     fraction = min(1.0, SAMPLE_ROWS / max(1, df.count()))
-    found = placed.sample(fraction=fraction, seed=5).agg(*[F.percentile_approx(p, at).alias(p) for p in places]).first()
-    numbered = placed.withColumns(
-        {
-            p: count_at_or_below(
-                F.array(*[F.lit(v) for v in sorted(set(found[p] or []))]).cast("array<double>"), F.col(p), cuts
-            ).cast("long")
-            for p in places
-        }
-    )
+    sample = placed.select(*places).sample(fraction=fraction, seed=5)
+
+    def place(p: str) -> Column:
+        kind = T.ArrayType(placed.schema[p].dataType)
+        points = F.sort_array(F.array(*[F.lit(v) for v in _cut_points(sample, p, cuts)]).cast(kind))
+        return count_at_or_below(points, F.col(p), cuts).cast("long")
+
+    numbered = placed.withColumns({p: place(p) for p in places})
     parts = [
         F.shiftleft(F.shiftright(F.col(p), b).bitwiseAND(F.lit(1).cast("long")), b * len(columns) + i)
         for i, p in enumerate(places)
@@ -64,15 +69,20 @@ def with_cluster_number(df: DataFrame, columns: list[str], out: str, bits: int =
     return numbered.withColumn(out, reduce(lambda x, y: x.bitwiseOR(y), parts)).drop(*places)
 
 
-def cluster_layout(df: DataFrame, columns: list[str], files: int, bits: int = 6) -> DataFrame:
+def _bits(files: int, columns: list[str]) -> int:
+    """Enough bits for eight cells to a file, and six to ten bits a column."""
+    return min(10, max(6, -(-(files.bit_length() + 3) // max(1, len(columns)))))
+
+
+def cluster_layout(df: DataFrame, columns: list[str], files: int, bits: int | None = None) -> DataFrame:
     """The same rows, spread over ``files`` tasks so that each holds a small range of every column.
 
     A row hash follows the cluster number in the range key, so that many rows with
     equal values still spread over several tasks.
     """
-    numbered = with_cluster_number(df, columns, "_z", bits).withColumn("_h", F.xxhash64(*df.columns))
+    numbered = with_cluster_number(df, columns, "_z", bits or _bits(files, columns)).withColumn("_h", F.xxhash64(*df.columns))
     return numbered.repartitionByRange(files, "_z", "_h").sortWithinPartitions("_z", *columns).drop("_z", "_h")
 
 
-def write_clustered(df: DataFrame, columns: list[str], path: str, files: int) -> None:
-    cluster_layout(df, columns, files).write.mode("errorifexists").parquet(path)
+def write_clustered(df: DataFrame, columns: list[str], path: str, files: int, bits: int | None = None) -> None:
+    cluster_layout(df, columns, files, bits).write.mode("errorifexists").parquet(path)

@@ -1,7 +1,7 @@
 """Work on keys that hold a large share of the rows.
 
 A window or a join sends all rows of a key to one task.  The functions here look
-for such keys first, with a row count and, above ``min_rows``, a sample, and then
+for such keys first, with a row count and a sample, and then
 
 * ``cut_hot_keys`` cuts the rows of each hot key into slices along the sort order,
   so that a window can run per slice and be completed from one summary row per
@@ -9,9 +9,10 @@ for such keys first, with a row count and, above ``min_rows``, a sample, and the
 * ``enrich`` joins the rows of hot keys to the few right-hand rows they need by
   broadcast, and everything else by shuffle.
 
-Sizes: a key is hot only above ``share`` of all rows, so there are fewer than
-``1/share`` hot keys, and a hot key gets one slice per ``share`` of the rows, so
-there are fewer than ``2/share`` slices.  That is the bound on everything
+Sizes: a key is hot when it alone fills more than a task's even part of the rows,
+whatever their number.  That part, the ``share``, is one shuffle partition's, so there
+are fewer than ``1/share`` hot keys, and a hot key gets one slice per ``share`` of the
+rows, so there are fewer than ``2/share`` slices.  That is the bound on everything
 broadcast or brought to the driver here.  Cut points are fixed values by the time
 the real work starts, hence every branch of a plan, and every re-run of a lost
 task, puts a row in the same slice.
@@ -33,14 +34,22 @@ HASH, SLICE = "_key_hash", "_slice"
 
 @dataclass(frozen=True)
 class HotKeyPolicy:
-    """When a key counts as hot: above both limits."""
+    """When a key counts as hot: above this share of all rows.
 
-    share: float = 1 / 4096
-    # Slicing costs two to three times the work, so it must not start before one task hurts.
-    min_rows: int = 10_000_000
+    Without a share it is one shuffle partition's, and no less than 1/4096, which bounds
+    the cut points; a share of 1 makes no key hot.
+    """
+
+    share: float | None = None
     # Sampled rows by which a key at the limit is found, and by which one cut is placed.
     sample_per_slice: int = 200
 
+    def share_of(self, df: DataFrame) -> float:
+        if self.share is not None:
+            return self.share
+        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        return max(1 / partitions, 1 / 4096)
+
 
 DEFAULT_POLICY = HotKeyPolicy()
 
@@ -55,13 +64,12 @@ def find_hot_keys(
 ) -> tuple[list[int], float]:
     """Hashes of the hot keys, and the number of rows above which a key is hot.
 
-    A row count settles small inputs.  Larger ones are sampled, so that a key at the
-    limit is drawn ``sample_per_slice`` times; only the sample is shuffled, whatever
-    the size of the input.  Chance may miss or add a key near the limit, which costs
-    speed and never changes a result.
+    Rows are sampled, so that a key at the limit is drawn ``sample_per_slice`` times;
+    only the sample is shuffled, whatever the size of the input.  Chance may miss or add
+    a key near the limit, which costs speed and never changes a result.
     """
     rows = df.count()
-    limit = max(policy.share * rows, float(policy.min_rows))
+    limit = policy.share_of(df) * rows
     if rows <= limit:
         return [], limit
     fraction = min(1.0, policy.sample_per_slice / limit)

@@ -12,10 +12,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
+from pyspark.sql import types as T
 
 from ledgerline.operators.skew import (
     DEFAULT_POLICY,
     SLICE,
+    Cuts,
     HotKeyPolicy,
     attach_summary,
     cut_hot_keys,
@@ -23,6 +25,9 @@ from ledgerline.operators.skew import (
     key_hash,
 )
 
+#: Cuts not looked for yet; None are the cuts of data without hot keys.
+FIND = object()
+
 
 def partition_stats(
     df: DataFrame, keys: list[str], aggs: dict[str, Column], policy: HotKeyPolicy = DEFAULT_POLICY
@@ -143,18 +148,21 @@ def shift_columns(
     shifts: dict[str, tuple[str, int] | tuple[str, int, object]],
     policy: HotKeyPolicy = DEFAULT_POLICY,
     hot_from: DataFrame | None = None,
+    cuts: Cuts | None | object = FIND,
 ) -> DataFrame:
     """Add values of earlier (positive offset) or later (negative offset) rows of the key.
 
     ``shifts`` maps a new name to (column, offset) or (column, offset, default).
-    ``order`` must tell the rows of a key apart.
+    ``order`` must tell the rows of a key apart.  ``cuts`` may be those of a caller
+    who has looked for hot keys already.
     """
 
     def shifted(by: list[str]) -> list[Column]:
         w = W.partitionBy(*by).orderBy(*order)
         return [F.lag(s[0], s[1], *s[2:]).over(w).alias(name) for name, s in shifts.items()]
 
-    cuts = cut_hot_keys(df, keys, order, policy, hot_from)
+    if cuts is FIND:
+        cuts = cut_hot_keys(df, keys, order, policy, hot_from)
     if cuts is None:
         return df.select("*", *shifted(keys))
 
@@ -203,17 +211,21 @@ def rolling_mean(
     policy: HotKeyPolicy = DEFAULT_POLICY,
 ) -> DataFrame:
     """Mean over the rows from ``before`` earlier to ``after`` later ones; NULL values do not count."""
-    hot, _ = find_hot_keys(df, keys, policy)
-    if not hot:
-        w = W.partitionBy(*keys).orderBy(*order).rowsBetween(-before, after)
-        return df.withColumn(out, F.avg(value).over(w))
+    w = W.partitionBy(*keys).orderBy(*order).rowsBetween(-before, after)
+    plain = df.withColumn(out, F.avg(value).over(w))
+    cuts = cut_hot_keys(df, keys, order, policy)
+    if cuts is None:
+        return plain
     offsets = [k for k in range(-after, before + 1) if k]
     names = [f"_near_{i}" for i in range(len(offsets))]
-    near = shift_columns(df, keys, order, {n: (value, k) for n, k in zip(names, offsets)}, policy)
-    members = [F.col(value)] + [F.col(n) for n in names]
-    total = reduce(lambda a, b: a + b, [F.coalesce(m, F.lit(0.0)) for m in members])
+    near = shift_columns(df, keys, order, {n: (value, k) for n, k in zip(names, offsets)}, cuts=cuts)
+    # Decimals stay decimals, everything else is summed as double, as Spark's mean does.
+    kind = df.schema[value].dataType
+    kind = kind if isinstance(kind, T.DecimalType) else T.DoubleType()
+    members = [F.col(value).cast(kind)] + [F.col(n).cast(kind) for n in names]
+    total = reduce(lambda a, b: a + b, [F.coalesce(m, F.lit(0).cast(kind)) for m in members])
     count = reduce(lambda a, b: a + b, [m.isNotNull().cast("int") for m in members])
-    return near.withColumn(out, F.try_divide(total, count)).drop(*names)
+    return near.withColumn(out, F.try_divide(total, count).cast(plain.schema[out].dataType)).drop(*names)
 
 
 def running_total(
@@ -224,6 +236,7 @@ def running_total(
     value: str,
     out: str,
     policy: HotKeyPolicy = DEFAULT_POLICY,
+    cuts: Cuts | None | object = FIND,
 ) -> DataFrame:
     """Sum up to and including the peers of the row: rows equal in ``order`` share the total.
 
@@ -234,9 +247,11 @@ def running_total(
         w = W.partitionBy(*by).orderBy(*order).rangeBetween(W.unboundedPreceding, W.currentRow)
         return F.sum(value).over(w)
 
-    cuts = cut_hot_keys(df, keys, order + tie, policy)
+    plain = df.withColumn(out, so_far(keys))
+    if cuts is FIND:
+        cuts = cut_hot_keys(df, keys, order + tie, policy)
     if cuts is None:
-        return df.withColumn(out, so_far(keys))
+        return plain
 
     sliced = cuts.slice_of(df)
     place = F.struct(*order)
@@ -270,7 +285,8 @@ def running_total(
     local = sliced.withColumn("_here", so_far(keys + [SLICE]))
     joined = attach_summary(local, summary, keys, [SLICE])
     tail = F.when(place == F.col("last_value"), F.col("tail"))
-    return joined.select(*df.columns, _null_sum(F.col("before"), F.col("_here"), tail).alias(out))
+    total = _null_sum(F.col("before"), F.col("_here"), tail).cast(plain.schema[out].dataType)
+    return joined.select(*df.columns, total.alias(out))
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[Column | str]) -> DataFrame:
@@ -288,8 +304,8 @@ def dense_index(
 ) -> DataFrame:
     """Number the whole table in ``order``: start, start + step, ...
 
-    The table is treated as one hot key, so above ``min_rows`` it is numbered slice
-    by slice with offsets from one count per slice.
+    The table is treated as one hot key, so it is numbered slice by slice with
+    offsets from one count per slice.
     """
     cuts = cut_hot_keys(df, [], order, policy)
     if cuts is None:
@@ -337,17 +353,20 @@ def idle_time(
     )
 
 
-def state_islands(df: DataFrame, key: str, ts: str, state: Column) -> DataFrame:
+def state_islands(
+    df: DataFrame, key: str, ts: str, state: Column, policy: HotKeyPolicy = DEFAULT_POLICY
+) -> DataFrame:
     """One row per run of equal state: key, island number, state, first and last time, readings.
 
     The island number is the running count of state changes, where the row before
     the first counts as state false, and so does a row without a state.
     """
     flagged = df.select(key, ts, F.coalesce(state, F.lit(False)).cast("int").alias("state"))
-    changed = shift_columns(flagged, [key], [ts], {"_before": ("state", 1, 0)}).withColumn(
+    cuts = cut_hot_keys(flagged, [key], [ts], policy)
+    changed = shift_columns(flagged, [key], [ts], {"_before": ("state", 1, 0)}, cuts=cuts).withColumn(
         "_change", F.abs(F.col("state") - F.col("_before"))
     )
-    numbered = running_total(changed, [key], [ts], [], "_change", "island")
+    numbered = running_total(changed, [key], [ts], [], "_change", "island", cuts=cuts)
     return numbered.groupBy(key, "island", "state").agg(
         F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts"), F.count(F.lit(1)).alias("readings")
     )

@@ -182,11 +182,22 @@ def test_clustering_spreads_equal_rows(spark):
     assert sizes.agg(F.max("count")).first()[0] < 2500
 
 
-@pytest.mark.parametrize("values", [["b", "a", "abcdefgh", "é", "z", "", "aé"], ["Ab", "aB", "AB", "ab"]])
-def test_text_ordinals_never_decrease(spark, values):
-    df = spark.createDataFrame([(v,) for v in values], "s string")
-    numbered = df.select("s", layout.ordinal(df, "s").alias("n")).orderBy("s").collect()
+@pytest.mark.parametrize("prefix", ["", "https://example.org/a/", "é"])
+def test_text_is_cut_as_text(spark, prefix):
+    df = spark.range(2000).select(F.concat(F.lit(prefix), F.lpad(F.col("id").cast("string"), 6, "0")).alias("s"))
+    numbered = layout.with_cluster_number(df, ["s"], "n").orderBy("s").collect()
     assert [r.n for r in numbered] == sorted(r.n for r in numbered)
+    assert len({r.n for r in numbered}) == 64
+
+
+def test_clustering_by_many_columns_and_types(spark):
+    columns = {
+        "i": F.col("id"), "d": F.date_add(F.lit("2024-01-01").cast("date"), F.col("id").cast("int")), "t": F.timestamp_seconds("id"),
+        "b": F.col("id") % 2 == 0, "m": F.col("id").cast("decimal(20,3)"), "x": F.when(F.col("id") % 3 > 0, F.col("id").cast("double")),
+    }
+    df = spark.range(500).select(*[c.alias(n) for n, c in columns.items()])
+    got = layout.cluster_layout(df, list(columns), 4)
+    assert got.exceptAll(df).isEmpty() and got.count() == 500
 
 
 def test_pseudonyms(spark):

@@ -101,7 +101,7 @@ def test_stops_take_keys_from_start_or_stop(log):
     assert kept[60] == ("cp9", None)
 
 
-@pytest.mark.parametrize("policy", [HotKeyPolicy(), HotKeyPolicy(share=1 / 4, min_rows=1, sample_per_slice=5)])
+@pytest.mark.parametrize("policy", [HotKeyPolicy(), HotKeyPolicy(share=1 / 4, sample_per_slice=5)])
 def test_parking_time(log, policy):
     got = {r.transaction_id: r.total_parking_time for r in plan.parking_time(plan.meter_samples(log), policy).collect()}
     # 30 minutes + 6 minutes; the junk value counts as not charging; the single reading adds nothing

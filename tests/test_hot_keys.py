@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from ledgerline.operators import windows as win
 from ledgerline.operators.skew import HotKeyPolicy, cut_hot_keys, enrich, find_hot_keys
 
-SMALL = HotKeyPolicy(share=1 / 64, min_rows=20, sample_per_slice=10)
+SMALL = HotKeyPolicy(share=1 / 64, sample_per_slice=10)
+PLAIN = HotKeyPolicy(share=1.0)
 
 
 @pytest.fixture(scope="module")
@@ -45,7 +46,7 @@ def test_finds_hot_keys_and_cuts_them(skewed):
     largest = sliced.groupBy("k", "_slice").count().where("_slice > 0").agg(F.max("count")).first()[0]
     assert largest < 250
     assert sliced.count() == skewed.count()
-    assert cut_hot_keys(skewed, ["k"], ["t"]) is None
+    assert cut_hot_keys(skewed, ["k"], ["t"], PLAIN) is None
 
 
 @pytest.mark.parametrize("descending", [False, True])
@@ -54,7 +55,7 @@ def test_ranks(skewed, descending, tiles):
     args = (["k"], ["grade"], ["id"])
     same(
         win.rank_rows(skewed, *args, tiles=tiles, descending=descending, policy=SMALL),
-        win.rank_rows(skewed, *args, tiles=tiles, descending=descending),
+        win.rank_rows(skewed, *args, tiles=tiles, descending=descending, policy=PLAIN),
     )
 
 
@@ -62,48 +63,71 @@ def test_shift(skewed):
     shifts = {"p1": ("v", 1), "p2": ("id", 2, 0), "n1": ("v", -1), "n3": ("grade", -3)}
     same(
         win.shift_columns(skewed, ["k"], ["t", "id"], shifts, SMALL),
-        win.shift_columns(skewed, ["k"], ["t", "id"], shifts),
+        win.shift_columns(skewed, ["k"], ["t", "id"], shifts, PLAIN),
     )
 
 
 def test_shift_with_slices_smaller_than_reach(skewed):
-    tiny = HotKeyPolicy(share=1 / 2000, min_rows=2, sample_per_slice=10)
+    tiny = HotKeyPolicy(share=1 / 2000, sample_per_slice=10)
     shifts = {"p5": ("id", 5), "n4": ("id", -4)}
     same(
         win.shift_columns(skewed, ["k"], ["t", "id"], shifts, tiny),
-        win.shift_columns(skewed, ["k"], ["t", "id"], shifts),
+        win.shift_columns(skewed, ["k"], ["t", "id"], shifts, PLAIN),
     )
 
 
 def test_rolling_mean(skewed):
     args = (["k"], ["t", "id"], "v", 1, 1, "m")
-    same(win.rolling_mean(skewed, *args, policy=SMALL), win.rolling_mean(skewed, *args))
+    same(win.rolling_mean(skewed, *args, policy=SMALL), win.rolling_mean(skewed, *args, policy=PLAIN))
 
 
 def test_running_total_shares_peers(skewed):
     for order, tie in ((["grade"], ["id"]), (["t", "id"], [])):
         args = (["k"], order, tie, "v", "total")
-        same(win.running_total(skewed, *args, policy=SMALL), win.running_total(skewed, *args))
+        same(win.running_total(skewed, *args, policy=SMALL), win.running_total(skewed, *args, policy=PLAIN))
 
 
 def test_partition_stats(skewed):
     aggs = {"s": F.sum("v"), "a": F.avg("v"), "lo": F.min("v"), "hi": F.max("v")}
-    same(win.partition_stats(skewed, ["k"], aggs, SMALL), win.partition_stats(skewed, ["k"], aggs))
+    same(win.partition_stats(skewed, ["k"], aggs, SMALL), win.partition_stats(skewed, ["k"], aggs, PLAIN))
 
 
 def test_dense_index(skewed):
     a = win.dense_index(skewed, ["t", "id"], "n", start=10000, policy=SMALL)
-    same(a, win.dense_index(skewed, ["t", "id"], "n", start=10000))
+    same(a, win.dense_index(skewed, ["t", "id"], "n", start=10000, policy=PLAIN))
     assert a.agg(F.min("n"), F.max("n"), F.count_distinct("n")).first()[0:] == (10000, 12999, 3000)
 
 
 def test_idle_time(skewed):
     rows = skewed.dropDuplicates(["k", "t"])
     args = ("k", "t", F.col("v") > 400, "hours")
-    same(win.idle_time(rows, *args, policy=SMALL), win.idle_time(rows, *args))
+    same(win.idle_time(rows, *args, policy=SMALL), win.idle_time(rows, *args, policy=PLAIN))
 
 
 def test_enrich(skewed):
     facts = skewed.where("k is not null and k <> 'k3'").groupBy("k").agg(F.count("*").alias("n"))
     for how in ("left", "inner"):
-        same(enrich(skewed, facts, ["k"], how, SMALL), enrich(skewed, facts, ["k"], how))
+        same(enrich(skewed, facts, ["k"], how, SMALL), enrich(skewed, facts, ["k"], how, PLAIN))
+
+
+@pytest.mark.parametrize("kind", ["decimal(10,2)", "int", "bigint", "float", "double"])
+def test_both_plans_have_one_result_type(skewed, kind):
+    rows = skewed.withColumn("v", F.col("v").cast(kind))
+    mean, total = (["k"], ["t", "id"], "v", 1, 1, "out"), (["k"], ["grade"], ["id"], "v", "out")
+    for call, args in ((win.rolling_mean, mean), (win.running_total, total)):
+        sliced, plain = call(rows, *args, policy=SMALL), call(rows, *args, policy=PLAIN)
+        assert sliced.schema["out"].dataType == plain.schema["out"].dataType
+        same(sliced, plain)
+
+
+def test_islands(skewed):
+    rows = skewed.dropDuplicates(["k", "t"])
+    same(*[win.state_islands(rows, "k", "t", F.col("v") > 400, policy) for policy in (SMALL, PLAIN)])
+
+
+def test_a_key_is_hot_above_the_part_of_one_task(spark):
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = spark.range(40 * partitions).withColumn("k", F.when(F.col("id") < 60, 0).otherwise(F.col("id")))
+    assert len(find_hot_keys(rows, ["k"])[0]) == 1
+    assert cut_hot_keys(rows, [], ["id"]).count >= partitions // 2
+    assert find_hot_keys(rows.where("id < 0"), ["k"])[0] == []

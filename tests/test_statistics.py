@@ -9,7 +9,7 @@ from ledgerline.operators.ranking import emissions_ranking, top_rows
 from ledgerline.operators.skew import HotKeyPolicy
 from ledgerline.plans import charts
 
-SMALL = HotKeyPolicy(share=1 / 32, min_rows=5, sample_per_slice=10)
+SMALL = HotKeyPolicy(share=1 / 32, sample_per_slice=10)
 
 
 @pytest.fixture(scope="module")
