@@ -166,10 +166,8 @@ def _tiers(nodes: DataFrame, group: str, payload: list[str], label: str) -> list
     return tiers
 
 
-def _down(tiers: list[DataFrame], group: str, payload: list[str], above: DataFrame) -> DataFrame:
-    """Nodes with all their steps; ``above`` has one row per group: ``_group``, ``steps`` and what all its nodes carry."""
-    carry = [c for c in above.columns if c not in ("_group", "steps")]
-    top = tiers[-1].join(above, F.col(group).eqNullSafe(F.col("_group"))).drop("_group")
+def _down(tiers: list[DataFrame], top: DataFrame, group: str, payload: list[str], carry: list[str]) -> DataFrame:
+    """Nodes with all their steps; ``top`` is the last tier with the ``steps`` above each group and what all nodes of it carry."""
     for i in reversed(range(len(tiers))):
         nodes = opened(top, group, payload if i == 0 else [], carry)
         if i:
@@ -193,10 +191,10 @@ def manifest(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source"
     # Nulls come first in Spark's order, and strings are compared bytewise.
     placed = numbered(subroots, "_one", ["source"], subroots.count())
     upper = _tiers(placed.select("_one", "rank", F.col("subroot").alias("node"), "source"), "_one", ["source"], "merkle-root")
-    root = upper[-1].select(F.lit(0).alias("_group"), F.array().cast(_STEP).alias("steps"), F.col("node").alias("root"))
-    tops = _down(upper, "_one", ["source"], root)
-    each = tops.select(F.col("source").alias("_group"), "steps", F.col("node").alias("subroot"), "root")
-    nodes = _down(tiers, "source", ["doc_id", "bent"], each)
+    root = upper[-1].withColumn("steps", F.array().cast(_STEP)).withColumn("root", F.col("node"))
+    each = _down(upper, root, "_one", ["source"], ["root"]).select(F.col("source").alias("_group"), "steps", F.col("node").alias("subroot"), "root")
+    top = tiers[-1].join(each, F.col("source").eqNullSafe(F.col("_group"))).drop("_group")
+    nodes = _down(tiers, top, "source", ["doc_id", "bent"], ["subroot", "root"])
     proof = F.sha2(F.array_join(F.transform("steps", lambda s: F.concat(s["l"], s["r"])), ""), 256)
     back = folded(F.coalesce("bent", "node"), F.col("steps"))
     out = nodes.select("doc_id", "source", F.col("node").alias("leaf"), "subroot", "root", proof.alias("proof_sha256"), back.alias("folded_root"))

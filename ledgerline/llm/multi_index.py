@@ -35,13 +35,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import stored
+from ledgerline.llm.common import stored, width
 
 SAMPLE_VALUES = 1_500_000
 SAMPLE_QUERIES = 200
 GROUP_VALUES = 500_000
 #: Queries of one group that one task answers.
 PART_QUERIES = 100_000
+#: Queries that one task sends through the cells.
+TASK_QUERIES = 250
 ROUNDS = 12
 NO_ID = 2**63 - 1
 
@@ -112,8 +114,8 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return rows.where(v.isNotNull() & (F.size(v) > 0)).where(~bad & F.exists(v, lambda x: x != 0))
 
 
-def fit(rows: DataFrame, asked: DataFrame, k: int, target: float) -> MultiIndex | None:
-    """The index of ``rows`` (from ``usable``) for queries like ``asked``; None without rows."""
+def fit(rows: DataFrame, asked: DataFrame, many: int, k: int, target: float) -> MultiIndex | None:
+    """The index of ``rows`` (from ``usable``) for queries like the ``many`` of ``asked``; None without rows."""
     lengths = rows.groupBy(F.size("vec").alias("d")).agg(F.count(F.lit(1)).alias("n"))
     common = lengths.orderBy(F.desc("n"), F.desc("d")).first()
     if common is None:
@@ -121,7 +123,7 @@ def fit(rows: DataFrame, asked: DataFrame, k: int, target: float) -> MultiIndex
     dims, n = int(common["d"]), int(common["n"])
     rows, asked = rows.where(F.size("vec") == dims), asked.where(F.size("vec") == dims)
     books = _codebooks(_matrix(_some(rows, n, max(1, SAMPLE_VALUES // dims)), dims))
-    tried = _some(asked, asked.count(), SAMPLE_QUERIES)
+    tried = _some(asked, many, SAMPLE_QUERIES)
     blank = MultiIndex(dims, n, books, np.zeros(len(books[0]) * len(books[1]), np.int64), 0, 1.0)
     seen = stored(_cells_and_truth(rows, blank, [NO_ID if r.id is None else r.id for r in tried], _matrix(tried, dims), k), "ann-fit")
     counts = blank.counts.copy()
@@ -287,11 +289,13 @@ def nearest(
     """``query_id``, ``rank`` from 1, ``vec_id`` and ``score`` of the ``k`` nearest rows found for every row that ``is_query`` picks."""
     rows = usable(vectors, id_col, vector_col)
     asked = usable(vectors.where(is_query), id_col, vector_col).where(F.col("id").isNotNull())
-    index = fit(rows, asked, k, target) if index is None else index
+    many = asked.count()
+    index = fit(rows, asked, many, k, target) if index is None else index
     if index is None:
         return rows.select(F.col("id").alias("query_id"), F.lit(0).alias("rank"), F.col("id").alias("vec_id"), F.lit(0.0).alias("score")).limit(0)
     rows, asked = rows.where(F.size("vec") == index.dims), asked.where(F.size("vec") == index.dims)
-    visits = stored(_visits(asked.groupBy("id").agg(F.min("vec").alias("vec")), index), "ann-queries")
+    once = asked.repartition(width(many, TASK_QUERIES), "id").groupBy("id").agg(F.min("vec").alias("vec"))
+    visits = stored(_visits(once, index), "ann-queries")
     sent = visits.select(F.explode("groups").alias("group"), "id", "vec", "end")
     # A group that no query visits has no parts and is not moved.
     parts = stored(sent.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / PART_QUERIES).alias("parts")), "ann-groups")
