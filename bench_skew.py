@@ -60,7 +60,7 @@ def main() -> None:
         "running_total": lambda p: win.running_total(df, ["key"], ["ts"], ["id"], "value", "total", p),
         "partition_stats": lambda p: win.partition_stats(df, ["key"], {"top": F.max("value")}, p),
         "dense_index": lambda p: win.dense_index(df.select("ts", "id"), ["ts", "id"], "n", policy=p),
-        "enrich": lambda p: enrich(df, facts, ["key"], "left", p),
+        "enrich": lambda p: enrich(df, facts, ["key"]),
     }
     cuts = cut_hot_keys(df, ["key"], ["ts", "id"], sliced)
     groups = cuts.slice_of(df).groupBy("key", "_slice").count()

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ledgerline.functions.scalars import scaled_mean
-from ledgerline.operators.skew import DEFAULT_POLICY, SLICE, HotKeyPolicy, cut_hot_keys, enrich
+from ledgerline.operators.skew import DEFAULT_POLICY, HotKeyPolicy, enrich
 from ledgerline.operators.windows import partition_stats
 
 
@@ -101,71 +101,115 @@ def exploded_mean(df: DataFrame, keys: list[str], names: str, separator: str, me
     )
 
 
-def keep_frequent(
-    df: DataFrame, keys: list[str], more_than: int, policy: HotKeyPolicy = DEFAULT_POLICY
-) -> DataFrame:
+def keep_frequent(df: DataFrame, keys: list[str], more_than: int) -> DataFrame:
     """Rows whose key occurs more than ``more_than`` times: a semi join with the counted keys."""
     frequent = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > more_than).select(*keys)
-    return enrich(df, frequent, keys, "left_semi", policy)
+    return enrich(df, frequent, keys, "left_semi")
 
 
-def exact_quantiles(
-    df: DataFrame, column: str, probabilities: dict[str, float], policy: HotKeyPolicy = DEFAULT_POLICY
-) -> DataFrame:
+def frequent_means(df: DataFrame, keys: list[str], more_than: int, measure: str, out: str) -> DataFrame:
+    """Mean per key over the keys with more than ``more_than`` rows, in one aggregate; NULL keys do not count."""
+    named = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    grouped = df.where(named).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.avg(measure).alias(out))
+    return grouped.where(F.col("_n") > more_than).drop("_n")
+
+
+def _spread(column: str) -> list[Column]:
+    return [
+        F.count(column).cast("double").alias("count"),
+        F.avg(column).alias("mean"),
+        F.min(column).cast("double").alias("low"),
+        F.max(column).cast("double").alias("high"),
+        (F.max(column) - F.min(column)).cast("double").alias("range"),
+    ]
+
+
+def _sketch(df: DataFrame, column: str, probabilities: dict[str, float], accuracy: int) -> list[Column]:
+    """Approximate values a little below and above each wanted position; a sketch per task, merged."""
+    c = F.col(column)
+    if df.schema[column].dataType.typeName() in ("double", "float"):
+        # NaN sorts last; the sketch only needs a value that does too.
+        c = F.when(F.isnan(c), float("inf")).otherwise(c)
+    slack = 2.0 / accuracy
+    places = [min(1.0, max(0.0, p + side * slack)) for p in probabilities.values() for side in (-1, 1)]
+    return [F.percentile_approx(c, places, accuracy).alias("_sketch"), F.count(column).alias("_rows")]
+
+
+def exact_quantiles(df: DataFrame, column: str, probabilities: dict[str, float], accuracy: int = 10_000) -> DataFrame:
     """One row of exact quantiles, interpolated between neighbouring values.
 
-    A large column is cut into slices by sampled values and the rows of each slice
-    are counted, which moves no data.  Then only the few slices that hold a wanted
-    position are looked into, equal values counted first.  No task ever holds the
-    whole column, as Spark's ``percentile`` would.
+    A first pass merges the tasks' sketches, which bracket each wanted position to some
+    4/accuracy of the rows.  A second one counts the rows outside of the brackets as
+    whole ranges and those inside value by value, which gives the exact rows at the positions.
+    No task ever holds the whole column, as Spark's ``percentile`` would.
     """
-    present = df.where(F.col(column).isNotNull()).select(column)
-    cuts = cut_hot_keys(present, [], [column], policy)
-    sliced = cuts.slice_of(present) if cuts else present.withColumn(SLICE, F.lit(0))
-    sizes = dict(sliced.groupBy(SLICE).agg(F.count(F.lit(1)).alias("n")).collect())
-    total = sum(sizes.values())
-    starts, passed = {}, 0
-    for number in sorted(sizes):
-        starts[number] = passed
-        passed += sizes[number]
+    seen = df.agg(*_sketch(df, column, probabilities, accuracy)).first()
+    return _within(df, column, probabilities, seen["_sketch"], seen["_rows"], accuracy)
+
 
+def _within(df: DataFrame, column: str, probabilities: dict[str, float], sketch: list | None, rows: int, accuracy: int) -> DataFrame:
     wanted = {}
     for name, p in probabilities.items():
-        place = p * max(total - 1, 0)
+        place = p * max(rows - 1, 0)
         low = math.floor(place)
-        wanted[name] = (low, min(low + 1, max(total - 1, 0)), place - low)
-    positions = {at for low, high, _ in wanted.values() for at in (low, high)}
-    holding = {n: starts[n] for n in starts if any(starts[n] <= at < starts[n] + sizes[n] for at in positions)}
-
-    before = F.coalesce(*[F.when(F.col(SLICE) == n, F.lit(start)) for n, start in holding.items()], F.lit(0))
-    in_slice = W.partitionBy(SLICE).orderBy(column).rowsBetween(W.unboundedPreceding, W.currentRow)
-    placed = (
-        sliced.where(F.col(SLICE).isin(list(holding)))
-        .groupBy(SLICE, column)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_upto", before + F.sum("_n").over(in_slice))
-    )
+        wanted[name] = (low, min(low + 1, max(rows - 1, 0)) if place > low else low, place - low)
+    # Brackets as (from, to); an end beyond the first or last row is open, as is one that a sketch cannot tell from NaN.
+    slack, brackets = 2.0 / accuracy, []
+    for i, p in enumerate(probabilities.values() if sketch else ()):
+        low, high = sketch[2 * i], sketch[2 * i + 1]
+        brackets.append((None if p - slack <= 0 else low, None if p + slack >= 1 or (isinstance(high, float) and math.isinf(high)) else high))
+    if rows * slack < 8:
+        # Too few rows for positions to lie within the sketch's error: every value counts.
+        brackets = [(None, None)]
+    merged: list[tuple] = []
+    for low, high in sorted(brackets, key=lambda b: (b[0] is not None, b[0])):
+        if merged and (merged[-1][1] is None or low is None or low <= merged[-1][1]):
+            last = merged.pop()
+            low, high = last[0], None if last[1] is None or high is None else max(last[1], high)
+        merged.append((low, high))
+
+    c, kind = F.col(column), df.schema[column].dataType
+    # Even numbers are ranges between brackets, odd ones the brackets.
+    slot = F.lit(2 * len(merged))
+    for i, (low, high) in reversed(list(enumerate(merged))):
+        if high is not None:
+            slot = F.when(c <= F.lit(high).cast(kind), 2 * i + 1).otherwise(slot)
+        else:
+            slot = F.lit(2 * i + 1)
+        if low is not None:
+            slot = F.when(c < F.lit(low).cast(kind), 2 * i).otherwise(slot)
+    counted = (
+        df.where(c.isNotNull()).select(c, slot.alias("_slot"))
+        .groupBy("_slot", F.when(F.col("_slot") % 2 == 1, c).alias("_value")).agg(F.count(F.lit(1)).alias("_n"))
+    )
+    upto = F.sum("_n").over(W.partitionBy("_slot").orderBy("_value").rowsBetween(W.unboundedPreceding, W.currentRow))
+    if merged == [(None, None)]:
+        placed = counted.withColumn("_upto", upto)
+    else:
+        # At most one row per slot.
+        slots = counted.groupBy("_slot").agg(F.sum("_n").alias("_all"))
+        earlier = W.partitionBy(F.lit(0)).orderBy("_slot").rowsBetween(W.unboundedPreceding, -1)
+        starts = slots.select("_slot", F.coalesce(F.sum("_all").over(earlier), F.lit(0)).alias("_start"))
+        placed = counted.join(F.broadcast(starts), "_slot").withColumn("_upto", F.col("_start") + upto)
 
     def at(position: int) -> Column:
         holds = (F.col("_upto") - F.col("_n") <= position) & (F.col("_upto") > position)
-        return F.max(F.when(holds, F.col(column).cast("double")))
+        return F.max(F.when(holds, F.col("_value").cast("double")))
 
     return placed.agg(
         *[(at(low) + (at(high) - at(low)) * rest).alias(name) for name, (low, high, rest) in wanted.items()]
     )
 
 
-def distribution(df: DataFrame, column: str, policy: HotKeyPolicy = DEFAULT_POLICY) -> DataFrame:
-    """Rows (statistic, value): count, mean, range, quartiles and median, what a box plot shows."""
-    spread = df.agg(
-        F.count(column).cast("double").alias("count"),
-        F.avg(column).alias("mean"),
-        F.min(column).cast("double").alias("low"),
-        F.max(column).cast("double").alias("high"),
-        (F.max(column) - F.min(column)).cast("double").alias("range"),
-    )
-    quartiles = exact_quantiles(df, column, {"q1": 0.25, "median": 0.5, "q3": 0.75}, policy)
-    return reduce(DataFrame.union, [part.unpivot([], part.columns, "statistic", "value") for part in (spread, quartiles)])
+QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+
+
+def distribution(df: DataFrame, column: str, accuracy: int = 10_000) -> DataFrame:
+    """Rows (statistic, value): count, mean, range, quartiles and median, what a box plot shows; two passes."""
+    seen = df.agg(*_spread(column), *_sketch(df, column, QUARTILES, accuracy)).first()
+    whole = [F.lit(seen[name]).cast("double").alias(name) for name in ("count", "mean", "low", "high", "range")]
+    row = _within(df, column, QUARTILES, seen["_sketch"], seen["_rows"], accuracy).select(*whole, *QUARTILES)
+    return row.unpivot([], row.columns, "statistic", "value")
 
 
 def histogram(df: DataFrame, column: str, low: float, high: float, bins: int) -> DataFrame:

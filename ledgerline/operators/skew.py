@@ -1,21 +1,17 @@
 """Work on keys that hold a large share of the rows.
 
-A window or a join sends all rows of a key to one task.  The functions here look
-for such keys first, with a row count and a sample, and then
-
-* ``cut_hot_keys`` cuts the rows of each hot key into slices along the sort order,
-  so that a window can run per slice and be completed from one summary row per
-  slice, and
-* ``enrich`` joins the rows of hot keys to the few right-hand rows they need by
-  broadcast, and everything else by shuffle.
-
-Sizes: a key is hot when it alone fills more than a task's even part of the rows,
-whatever their number.  That part, the ``share``, is one shuffle partition's, so there
-are fewer than ``1/share`` hot keys, and a hot key gets one slice per ``share`` of the
-rows, so there are fewer than ``2/share`` slices.  That is the bound on everything
-broadcast or brought to the driver here.  Cut points are fixed values by the time
-the real work starts, hence every branch of a plan, and every re-run of a lost
-task, puts a row in the same slice.
+A window sends all rows of a key to one task.  The functions here look for keys that
+are too large for that, and ``cut_hot_keys`` cuts the rows of each such key into slices
+along the sort order, so that a window can run per slice and be completed from
+its neighbours or from one summary row per slice.  ``enrich`` joins to facts so that
+adaptive execution can split hot keys by itself.
+
+Sizes: a key is hot when it holds more rows than one task sorts with ease, and more than
+1/16384 of all rows; a hot key gets one slice per that many rows.  So there are fewer than
+32768 slices in all, the bound on everything broadcast or brought to the driver here.
+Both plans give the same result, so the choice may follow the size.  Cut points are fixed
+values by the time the real work starts, hence every branch of a plan, and every
+re-run of a lost task, puts a row in the same slice.
 """
 
 from __future__ import annotations
@@ -32,23 +28,32 @@ from ledgerline.functions.search import count_at_or_below
 HASH, SLICE = "_key_hash", "_slice"
 
 
+MOST_CUTS = 16384
+# A frame whose files are smaller than this holds no key worth cutting.
+SMALL_BYTES = 64 << 20
+
+
 @dataclass(frozen=True)
 class HotKeyPolicy:
-    """When a key counts as hot: above this share of all rows.
+    """When a key counts as hot: above ``task_rows`` rows, and above 1/16384 of all rows.
 
-    Without a share it is one shuffle partition's, and no less than 1/4096, which bounds
-    the cut points; a share of 1 makes no key hot.
+    A share, if given, replaces both limits; a share of 1 makes no key hot.
     """
 
     share: float | None = None
+    task_rows: int = 5_000_000
     # Sampled rows by which a key at the limit is found, and by which one cut is placed.
     sample_per_slice: int = 200
 
-    def share_of(self, df: DataFrame) -> float:
+    def limit(self, rows: int) -> float:
+        """The rows above which a key is hot."""
+        return self.share * rows if self.share is not None else max(self.task_rows, rows / MOST_CUTS)
+
+    def rules_out(self, df: DataFrame) -> bool:
+        """Whether no key can be hot, as far as Spark's estimate of the size tells without a job."""
         if self.share is not None:
-            return self.share
-        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        return max(1 / partitions, 1 / 4096)
+            return self.share >= 1
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) < SMALL_BYTES
 
 
 DEFAULT_POLICY = HotKeyPolicy()
@@ -68,8 +73,10 @@ def find_hot_keys(
     only the sample is shuffled, whatever the size of the input.  Chance may miss or add
     a key near the limit, which costs speed and never changes a result.
     """
+    if policy.rules_out(df):
+        return [], 0.0
     rows = df.count()
-    limit = policy.share_of(df) * rows
+    limit = policy.limit(rows)
     if rows <= limit:
         return [], limit
     fraction = min(1.0, policy.sample_per_slice / limit)
@@ -164,31 +171,16 @@ def attach_summary(df: DataFrame, summary: DataFrame, keys: list[str], extra: li
     return joined.drop(*[f"_r_{c}" for c in keys + extra])
 
 
-def enrich(
-    df: DataFrame,
-    facts: DataFrame,
-    keys: list[str],
-    how: str = "left",
-    policy: HotKeyPolicy = DEFAULT_POLICY,
-    hot_from: DataFrame | None = None,
-) -> DataFrame:
-    """Join to ``facts``, which has one row per key.
+def enrich(df: DataFrame, facts: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+    """Join to ``facts``, which is computed per key, so that hot keys and NULL keys spread.
 
-    Adaptive execution cannot split a hot key when the other side comes straight
-    out of an aggregate on that key, so hot keys are taken out and joined by
-    broadcast: at most one row each, fewer than ``1/share`` rows. NULL keys match
-    nothing, so a left join carries their rows past the join.
+    Adaptive execution splits a hot key of a join only where both sides were shuffled for
+    that join, and an aggregate on the key was not.  One more join column, 0 for every row with a
+    key, asks for that shuffle of the facts, which are small beside the rows.  Rows
+    with a NULL key match nothing, and the same column deals them over all tasks.
     """
-    if how == "left":
-        named = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-        gained = [F.lit(None).cast(f.dataType).alias(f.name) for f in facts.schema.fields if f.name not in keys]
-        met = enrich(df.where(named), facts, keys, "inner_left", policy, hot_from)
-        return met.unionByName(df.where(~named).select("*", *gained))
-    how = "left" if how == "inner_left" else how
-    hot, _ = find_hot_keys(df if hot_from is None else hot_from, keys, policy)
-    if not hot:
-        return df.join(facts, keys, how)
-    is_hot = key_hash(keys).isin(hot)
-    usual = df.where(~is_hot).join(facts, keys, how)
-    heavy = df.where(is_hot).join(F.broadcast(facts.where(is_hot)), keys, how)
-    return usual.unionByName(heavy)
+    spread = "_spread"
+    missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    dealt = df.withColumn(spread, F.when(missing, F.pmod(F.xxhash64(*df.columns), F.lit(1 << 16)) + 1).otherwise(F.lit(0).cast("long")))
+    known = facts.withColumn(spread, F.when(missing, F.lit(-1).cast("long")).otherwise(F.lit(0).cast("long")))
+    return dealt.join(known, [*keys, spread], how).drop(spread)

@@ -2,7 +2,8 @@
 
 Each function has one plan for ordinary data, a plain Spark window, and one for
 data with hot keys: the window runs per slice of the sort order and is completed
-from one summary row per slice (see ``operators.skew``).
+from one summary row per slice, or sees copies of the rows beside the slice (see
+``operators.skew``).
 """
 
 from __future__ import annotations
@@ -12,10 +13,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
-from pyspark.sql import types as T
 
 from ledgerline.operators.skew import (
     DEFAULT_POLICY,
+    HASH,
     SLICE,
     Cuts,
     HotKeyPolicy,
@@ -24,7 +25,9 @@ from ledgerline.operators.skew import (
     find_hot_keys,
     key_hash,
 )
+from ledgerline.session import scratch_path
 
+COPY = "_copy"
 #: Cuts not looked for yet; None are the cuts of data without hot keys.
 FIND = object()
 
@@ -166,38 +169,52 @@ def shift_columns(
     if cuts is None:
         return df.select("*", *shifted(keys))
 
-    sliced = cuts.slice_of(df)
-    reach = max(abs(s[1]) for s in shifts.values())
-    in_slice = W.partitionBy(*keys, SLICE)
-    from_start = F.row_number().over(in_slice.orderBy(*order))
-    from_end = F.row_number().over(in_slice.orderBy(*_directed(order, True)))
-    # The first and last rows of each slice, in order, have their true neighbours
-    # among themselves.  Each map task hands over at most `reach` rows per slice and end.
+    reach = [s[1] for s in shifts.values()]
     needed = sorted({s[0] for s in shifts.values()} | set(order) | set(keys))
-    narrow = cuts.hot_rows(df.select(*needed)).select(*needed, SLICE)
-    heads = narrow.withColumn("_from_start", from_start).where(F.col("_from_start") <= reach)
-    tails = narrow.withColumn("_from_end", from_end).where(F.col("_from_end") <= reach)
-    both = heads.unionByName(tails, allowMissingColumns=True)
-    kept = [c for c in narrow.columns if c not in keys + order + [SLICE]]
-    edges = (
-        both.groupBy(*dict.fromkeys(keys + [SLICE] + order))
-        .agg(F.max("_from_start").alias("_from_start"), F.max("_from_end").alias("_from_end"), *[F.first(c).alias(c) for c in kept])
-        .select(*keys, SLICE, "_from_start", "_from_end", F.struct(*shifted(keys)).alias("_edge"))
-    )
-    rows = F.count(F.lit(1)).over(in_slice)
-    joined = sliced.select(
-        "*", from_start.alias("_from_start"), (rows - from_start + 1).alias("_from_end"), F.struct(*shifted(keys + [SLICE])).alias("_local")
-    )
-    for place, edge in (("_from_start", "_edge_start"), ("_from_end", "_edge_end")):
-        ends = edges.where(F.col(place).isNotNull()).select(*keys, SLICE, place, F.col("_edge").alias(edge))
-        joined = attach_summary(joined, ends, keys, [SLICE, place])
+    rows = with_neighbours(df, cuts, keys, order, needed, max(0, *reach), max(0, *[-r for r in reach]))
+    return rows.select("*", *shifted([*keys, SLICE])).where(~F.col(COPY)).select(*df.columns, *shifts)
 
-    def pick(name: str, offset: int) -> Column:
-        place, edge = ("_from_start", "_edge_start") if offset > 0 else ("_from_end", "_edge_end")
-        use_edge = (F.col(SLICE) > 0) & (F.col(place) <= abs(offset))
-        return F.when(use_edge, F.col(f"{edge}.{name}")).otherwise(F.col(f"_local.{name}")).alias(name)
 
-    return joined.select(*df.columns, *[pick(name, s[1]) for name, s in shifts.items()])
+def with_neighbours(
+    df: DataFrame, cuts: Cuts, keys: list[str], order: list[str], needed: list[str], back: int, ahead: int
+) -> DataFrame:
+    """Rows with their slice, and for each slice copies of the ``back`` rows before and the ``ahead`` rows after it.
+
+    Copies are marked ``_copy`` and have only the ``needed`` columns.  A window that looks no
+    farther is then right in every slice for all rows but the copies.  Each map task hands
+    over at most ``back`` or ``ahead`` rows per slice for them.
+    """
+    narrow = cuts.hot_rows(df.select(*needed))
+    sizes: dict[int, list[tuple[int, int]]] = {}
+    # One row per slice of a hot key.
+    for r in narrow.groupBy(HASH, SLICE).agg(F.count(F.lit(1)).alias("n")).collect():
+        sizes.setdefault(r[HASH], []).append((r[SLICE], r["n"]))
+    parts = [cuts.slice_of(df).withColumn(COPY, F.lit(False))]
+    for reach, descending in ((back, True), (ahead, False)):
+        links = [
+            (key, *link) for key, slices in sizes.items() for link in _links(sorted(slices, reverse=not descending), reach)
+        ]
+        if not links:
+            continue
+        to = df.sparkSession.createDataFrame(links, f"{HASH} long, {SLICE} int, _to int, _gap long")
+        nth = F.row_number().over(W.partitionBy(*keys, SLICE).orderBy(*_directed(order, descending)))
+        edge = narrow.withColumn("_nth", nth).where(F.col("_nth") <= reach)
+        copies = edge.join(F.broadcast(to), [HASH, SLICE]).where(F.col("_nth") + F.col("_gap") <= reach)
+        parts.append(copies.select(*needed, F.col("_to").alias(SLICE), F.lit(True).alias(COPY)))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def _links(slices: list[tuple[int, int]], reach: int) -> list[tuple[int, int, int]]:
+    """(slice, slice that needs copies of it, rows between the two); nearly always only the next slice does."""
+    out = []
+    for i, (number, _) in enumerate(slices):
+        gap = 0
+        for other, n in slices[i + 1 :]:
+            if gap >= reach:
+                break
+            out.append((number, other, gap))
+            gap += n
+    return out
 
 
 def rolling_mean(
@@ -211,21 +228,16 @@ def rolling_mean(
     policy: HotKeyPolicy = DEFAULT_POLICY,
 ) -> DataFrame:
     """Mean over the rows from ``before`` earlier to ``after`` later ones; NULL values do not count."""
-    w = W.partitionBy(*keys).orderBy(*order).rowsBetween(-before, after)
-    plain = df.withColumn(out, F.avg(value).over(w))
+
+    def mean(by: list[str]) -> Column:
+        return F.avg(value).over(W.partitionBy(*by).orderBy(*order).rowsBetween(-before, after)).alias(out)
+
     cuts = cut_hot_keys(df, keys, order, policy)
     if cuts is None:
-        return plain
-    offsets = [k for k in range(-after, before + 1) if k]
-    names = [f"_near_{i}" for i in range(len(offsets))]
-    near = shift_columns(df, keys, order, {n: (value, k) for n, k in zip(names, offsets)}, cuts=cuts)
-    # Decimals stay decimals, everything else is summed as double, as Spark's mean does.
-    kind = df.schema[value].dataType
-    kind = kind if isinstance(kind, T.DecimalType) else T.DoubleType()
-    members = [F.col(value).cast(kind)] + [F.col(n).cast(kind) for n in names]
-    total = reduce(lambda a, b: a + b, [F.coalesce(m, F.lit(0).cast(kind)) for m in members])
-    count = reduce(lambda a, b: a + b, [m.isNotNull().cast("int") for m in members])
-    return near.withColumn(out, F.try_divide(total, count).cast(plain.schema[out].dataType)).drop(*names)
+        return df.withColumn(out, mean(keys))
+    needed = sorted({value, *keys, *order})
+    rows = with_neighbours(df, cuts, keys, order, needed, before, after)
+    return rows.select("*", mean([*keys, SLICE])).where(~F.col(COPY)).select(*df.columns, out)
 
 
 def running_total(
@@ -302,27 +314,30 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[Column | str]) ->
 def dense_index(
     df: DataFrame, order: list[str], out: str, start: int = 0, step: int = 1, policy: HotKeyPolicy = DEFAULT_POLICY
 ) -> DataFrame:
-    """Number the whole table in ``order``: start, start + step, ...
+    """Number the whole table in ``order``, which must tell rows apart: start, start + step, ...
 
-    The table is treated as one hot key, so it is numbered slice by slice with
-    offsets from one count per slice.
+    A small table is numbered by one task.  A larger one is sorted by ranges and stored with
+    each row's place in its range; the ranges are counted, and one row per range,
+    with the rows before it, completes the numbers.
     """
-    cuts = cut_hot_keys(df, [], order, policy)
-    if cuts is None:
+    rows = 0 if policy.rules_out(df) else df.count()
+    limit = policy.limit(rows)
+    if rows <= limit:
         number = F.row_number().over(W.partitionBy(F.lit(0)).orderBy(*order))
         return df.withColumn(out, (F.lit(start) + (number - 1) * step).cast("long"))
-    sliced = cuts.slice_of(df)
-    earlier = W.partitionBy(F.lit(0)).orderBy(SLICE).rowsBetween(W.unboundedPreceding, -1)
+    ranges = -(-rows // max(1, int(limit)))
+    place = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    placed = df.repartitionByRange(ranges, *order).sortWithinPartitions(*order).select("*", F.spark_partition_id().alias("_range"), place.alias("_place"))
+    path = scratch_path(df.sparkSession, "numbered")
+    placed.write.parquet(path)
+    stored = df.sparkSession.read.schema(placed.schema).parquet(path)
+    earlier = W.partitionBy(F.lit(0)).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
     offsets = (
-        sliced.groupBy(SLICE)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select(SLICE, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    )
-    number = F.row_number().over(W.partitionBy(SLICE).orderBy(*order))
-    joined = attach_summary(sliced.withColumn("_number", number), offsets, [], [SLICE])
-    return joined.select(
-        *df.columns, (F.lit(start) + (F.col("_before") + F.col("_number") - 1) * step).cast("long").alias(out)
-    )
+        stored.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+        .select("_range", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    )
+    joined = stored.join(F.broadcast(offsets), "_range")
+    return joined.select(*df.columns, (F.lit(start) + (F.col("_before") + F.col("_place")) * step).cast("long").alias(out))
 
 
 def idle_time(
@@ -339,13 +354,14 @@ def idle_time(
     An island is a run of readings in the same state, and lasts from its first to
     its last reading; gaps between islands do not count.  The idle islands of a key
     therefore add up to the gaps between neighbouring readings that are both idle,
-    which needs one look at the previous row.  A reading with unknown state is idle,
-    a key that is never idle has no row, and ``(key, ts)`` must be unique.
+    which needs one look at the previous row.  A reading with unknown state is idle, and
+    a key that is never idle has no row.  A reading sent again adds nothing; of readings of
+    one time that disagree, the idle ones count as the later.
     """
     seconds = F.unix_seconds(F.col(ts).cast("timestamp"))
     readings = df.select(key, ts, F.coalesce(~busy, F.lit(True)).alias("_idle"), seconds.alias("_s"))
     paired = shift_columns(
-        readings, [key], [ts], {"_was_idle": ("_idle", 1, False), "_prev_s": ("_s", 1)}, policy, hot_from
+        readings, [key], [ts, "_idle"], {"_was_idle": ("_idle", 1, False), "_prev_s": ("_s", 1)}, policy, hot_from
     )
     gap = F.when(F.col("_was_idle"), F.col("_s") - F.col("_prev_s")).otherwise(F.lit(0))
     return (

@@ -144,13 +144,8 @@ def parking_time(
     return idle_time(power, "transaction_id", "timestamp", F.col("value") > 0, "total_parking_time", policy, hot_from)
 
 
-def with_parking(
-    sessions: DataFrame,
-    parking: DataFrame,
-    policy: HotKeyPolicy = DEFAULT_POLICY,
-    hot_from: DataFrame | None = None,
-) -> DataFrame:
-    return enrich(sessions, parking, ["transaction_id"], "left", policy, hot_from).select(*RECORD)
+def with_parking(sessions: DataFrame, parking: DataFrame) -> DataFrame:
+    return enrich(sessions, parking, ["transaction_id"]).select(*RECORD)
 
 
 def charge_records(
@@ -173,7 +168,7 @@ def charge_records(
     return (
         matched_stops(stops, starts, keep_stop_keys)
         .transform(with_totals, unit)
-        .transform(with_parking, parking_time(samples, policy, metered), policy, stops.select("transaction_id"))
+        .transform(with_parking, parking_time(samples, policy, metered))
     )
 
 

@@ -68,8 +68,7 @@ def feature_correlation(df: DataFrame) -> DataFrame:
 def artist_popularity(df: DataFrame, more_than: int = FREQUENT) -> DataFrame:
     """Mean popularity of artists with many chart rows, most popular first."""
     rated = df.where(F.col("artist").isNotNull() & F.col("popularity").isNotNull() & (F.col("popularity") != 0))
-    frequent = agg.keep_frequent(rated.select("artist", "popularity"), ["artist"], more_than)
-    mean = frequent.groupBy("artist").agg(F.avg("popularity").alias("average_popularity"))
+    mean = agg.frequent_means(rated, ["artist"], more_than, "popularity", "average_popularity")
     return mean.orderBy(F.col("average_popularity").desc())
 
 

@@ -234,11 +234,11 @@ ORACLES = {
     "stop_start_left": WITH + _STOP_START.format(side="b"),
     "stop_start_left_keep": WITH + _STOP_START.format(side="s"),
     "duration_hours": WITH
-    + """SELECT s.transaction_id,
+    + """SELECT b.transaction_id,
                 round(date_diff('second', b.start_timestamp, s.stop_timestamp) / 3600.0, 2) AS total_time
          FROM stops s LEFT JOIN starts b ON s.transaction_id = b.transaction_id""",
     "energy_kwh": WITH
-    + """SELECT s.transaction_id, CAST(s.meter_stop - b.meter_start AS DOUBLE) AS energy_wh,
+    + """SELECT b.transaction_id, CAST(s.meter_stop - b.meter_start AS DOUBLE) AS energy_wh,
                 round((s.meter_stop - b.meter_start) / 1000.0, 2) AS energy_kwh
          FROM stops s LEFT JOIN starts b ON s.transaction_id = b.transaction_id""",
     "route_actions": WITH

@@ -73,8 +73,7 @@ def artists_with_volume(spark: SparkSession, sf: str) -> DataFrame:
     named = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
     cents = F.round(F.col("o_totalprice") * 100).cast("long")
     rated = named.select(F.col("c_name").alias("artist"), cents.alias("cents")).where(F.col("cents") != 0)
-    mean = agg.keep_frequent(rated, ["artist"], 10).groupBy("artist").agg(F.avg("cents").alias("mean_cents"))
-    return mean.orderBy(F.col("mean_cents").desc())
+    return agg.frequent_means(rated, ["artist"], 10, "cents", "mean_cents").orderBy(F.col("mean_cents").desc())
 
 
 def exploded_mean(spark: SparkSession, sf: str) -> DataFrame:

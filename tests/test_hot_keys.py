@@ -1,12 +1,14 @@
 """Every sliced plan must give what the plain window gives."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.operators import windows as win
 from ledgerline.operators.skew import HotKeyPolicy, cut_hot_keys, enrich, find_hot_keys
+from tests.conftest import explained
 
 SMALL = HotKeyPolicy(share=1 / 64, sample_per_slice=10)
 PLAIN = HotKeyPolicy(share=1.0)
@@ -107,7 +109,19 @@ def test_idle_time(skewed):
 def test_enrich(skewed):
     facts = skewed.where("k is not null and k <> 'k3'").groupBy("k").agg(F.count("*").alias("n"))
     for how in ("left", "inner"):
-        same(enrich(skewed, facts, ["k"], how, SMALL), enrich(skewed, facts, ["k"], how, PLAIN))
+        same(enrich(skewed, facts, ["k"], how), skewed.join(facts, "k", how))
+    same(enrich(skewed, facts.select("k"), ["k"], "left_semi"), skewed.join(facts.select("k"), "k", "left_semi"))
+
+
+def test_enrich_shuffles_both_sides_by_the_spread_key(spark, skewed):
+    # Only then adaptive execution can split a hot key, and NULL keys do not meet in one task.
+    facts = skewed.groupBy("k").agg(F.count("*").alias("n"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        text = explained(enrich(skewed, facts, ["k"]))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(re.findall(r"hashpartitioning\(k#\d+, _spread#\d+", text)) == 2
 
 
 @pytest.mark.parametrize("kind", ["decimal(10,2)", "int", "bigint", "float", "double"])
@@ -125,9 +139,36 @@ def test_islands(skewed):
     same(*[win.state_islands(rows, "k", "t", F.col("v") > 400, policy) for policy in (SMALL, PLAIN)])
 
 
-def test_a_key_is_hot_above_the_part_of_one_task(spark):
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = spark.range(40 * partitions).withColumn("k", F.when(F.col("id") < 60, 0).otherwise(F.col("id")))
-    assert len(find_hot_keys(rows, ["k"])[0]) == 1
-    assert cut_hot_keys(rows, [], ["id"]).count >= partitions // 2
-    assert find_hot_keys(rows.where("id < 0"), ["k"])[0] == []
+def test_a_key_is_hot_above_what_a_task_sorts(spark):
+    rows = spark.range(4000).withColumn("k", F.when(F.col("id") < 60, 0).otherwise(F.col("id"))).checkpoint()
+    small = HotKeyPolicy(share=50 / 4000)
+    assert len(find_hot_keys(rows, ["k"], small)[0]) == 1
+    assert cut_hot_keys(rows, [], ["id"], small).count >= 40
+    assert HotKeyPolicy(task_rows=50).limit(4000) == 50 and HotKeyPolicy(task_rows=50).limit(10**9) == 10**9 / 16384
+    # Files of a few kilobytes hold no hot key, which takes no job to know.
+    assert find_hot_keys(rows, ["k"])[0] == []
+
+
+def test_shift_and_mean_broadcast_no_edges(skewed):
+    """Copies of rows beside a slice travel with its rows; only the links of the slices are broadcast."""
+    for frame in (
+        win.shift_columns(skewed, ["k"], ["t", "id"], {"far": ("v", 40)}, SMALL),
+        win.rolling_mean(skewed, ["k"], ["t", "id"], "v", 40, 3, "m", policy=SMALL),
+    ):
+        text = explained(frame)
+        assert "_shift_" not in text and text.count("Window [") <= 4
+    same(
+        win.rolling_mean(skewed, ["k"], ["t", "id"], "v", 40, 3, "m", policy=SMALL),
+        win.rolling_mean(skewed, ["k"], ["t", "id"], "v", 40, 3, "m", policy=PLAIN),
+    )
+    same(
+        win.shift_columns(skewed, ["k"], ["t", "id"], {"far": ("v", 90, -1.0), "ahead": ("id", -75)}, SMALL),
+        win.shift_columns(skewed, ["k"], ["t", "id"], {"far": ("v", 90, -1.0), "ahead": ("id", -75)}, PLAIN),
+    )
+
+
+def test_idle_time_with_readings_sent_again(skewed):
+    rows = skewed.dropDuplicates(["k", "t"]).select("k", "t", "v")
+    again = rows.unionByName(rows.where("t % 3 = 0"))
+    args = ("k", "t", F.col("v") > 400, "hours")
+    same(win.idle_time(again, *args, policy=SMALL), win.idle_time(rows, *args, policy=PLAIN))

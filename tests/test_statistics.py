@@ -5,11 +5,10 @@ from pyspark.sql import functions as F
 
 from ledgerline.operators import aggregates as agg
 from ledgerline.operators import windows as win
-from ledgerline.operators.ranking import emissions_ranking, top_rows
 from ledgerline.operators.skew import HotKeyPolicy
+from ledgerline.operators.ranking import emissions_ranking, top_rows
 from ledgerline.plans import charts
 
-SMALL = HotKeyPolicy(share=1 / 32, sample_per_slice=10)
 
 
 @pytest.fixture(scope="module")
@@ -69,7 +68,7 @@ def test_idle_time_equals_islands(spark, sf):
         .groupBy("user_id")
         .agg(F.round(F.sum(seconds) / 3600.0, 2).alias("h"))
     )
-    direct = win.idle_time(events, "user_id", "ts", busy, "h", SMALL)
+    direct = win.idle_time(events, "user_id", "ts", busy, "h", HotKeyPolicy(share=1 / 32, sample_per_slice=10))
     assert direct.exceptAll(by_islands).isEmpty() and by_islands.exceptAll(direct).isEmpty()
 
 
@@ -104,13 +103,13 @@ def test_correlation_skips_rows_with_nulls(spark):
     assert got[("a", "c")] == got[("c", "a")] and math.isclose(got[("c", "c")], 1.0)
 
 
-@pytest.mark.parametrize("policy", [HotKeyPolicy(), SMALL])
+@pytest.mark.parametrize("accuracy", [10_000, 20])
 @pytest.mark.parametrize("values", [[1.0], [3.0, 1.0], [5.0] * 50 + [1.0] * 20 + [9.0], [float(i * 37 % 101) for i in range(101)], [None, 2.0, 8.0, None]])
-def test_exact_quantiles(spark, values, policy):
+def test_exact_quantiles(spark, values, accuracy):
     import numpy as np
 
     frame = spark.createDataFrame([(v,) for v in values], "v double")
-    got = agg.exact_quantiles(frame, "v", {"a": 0.0, "b": 0.25, "c": 0.5, "d": 0.9, "e": 1.0}, policy).first()
+    got = agg.exact_quantiles(frame, "v", {"a": 0.0, "b": 0.25, "c": 0.5, "d": 0.9, "e": 1.0}, accuracy).first()
     want = np.quantile([v for v in values if v is not None], [0, 0.25, 0.5, 0.9, 1])
     assert np.allclose(list(got), want)
 
@@ -128,8 +127,32 @@ def test_histogram_edges(spark):
 
 def test_keep_frequent(spark):
     frame = spark.createDataFrame([("a",)] * 3 + [("b",)] * 2 + [(None,)] * 5, "k string")
-    for policy in (HotKeyPolicy(), SMALL):
-        assert [r[0] for r in agg.keep_frequent(frame, ["k"], 2, policy).collect()] == ["a"] * 3
+    assert [r[0] for r in agg.keep_frequent(frame, ["k"], 2).collect()] == ["a"] * 3
+
+
+def test_means_of_frequent_keys(spark):
+    frame = spark.createDataFrame([("a", 1)] * 2 + [("a", 4), ("b", 1), ("b", 2)] + [(None, 7)] * 5, "k string, v int")
+    assert [tuple(r) for r in agg.frequent_means(frame, ["k"], 2, "v", "m").collect()] == [("a", 2.0)]
+
+
+def test_quantiles_of_many_rows_look_into_brackets_only(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    values = np.concatenate([np.round(rng.normal(size=30_000), 2), np.full(9_000, 0.25), [float("inf")] * 3, [-1e300]])
+    frame = spark.createDataFrame([(float(v),) for v in values], "v double").repartition(6)
+    wanted = {"a": 0.001, "b": 0.25, "c": 0.5, "d": 0.9, "e": 0.9999}
+    got = agg.exact_quantiles(frame, "v", wanted, 500).first()
+    assert np.allclose(list(got), np.quantile(values, list(wanted.values())))
+    with_nan = frame.union(spark.createDataFrame([(float("nan"),)] * 20_000, "v double"))
+    got = agg.exact_quantiles(with_nan, "v", {"m": 0.5, "n": 0.99}, 500).first()
+    assert got["m"] == np.sort(values)[29501:29503].mean() and np.isnan(got["n"])
+
+
+def test_distribution_takes_two_passes(spark):
+    frame = spark.range(1001).select(F.col("id").cast("double").alias("v"))
+    got = dict(agg.distribution(frame, "v").collect())
+    assert got == {"count": 1001.0, "mean": 500.0, "low": 0.0, "high": 1000.0, "range": 1000.0, "q1": 250.0, "median": 500.0, "q3": 750.0}
 
 
 def test_top_rows_plan_keeps_n_per_task(demo):
