@@ -58,32 +58,38 @@ def merge_upsert(
 ) -> DataFrame:
     """Update (or ``"delete"``, or ``"keep"``) matching target rows, insert (or ``"skip"``) the other source rows.
 
-    A target row matched by several source rows is an error.  Two joins on the key
-    instead of one full outer join: adaptive execution can split a hot key of the
-    target in a left join, and not in a full one.
+    A target row matched by several source rows is an error.  Both tables are read once, by one
+    full join (``merged``).
     """
     _reject_ambiguous(target, source, keys)
-    columns = [c for c in target.columns if c not in keys]
-    incoming = source.select(*keys, F.struct(*columns).alias("_new"))
-    if when_matched == "update":
-        kept = target.join(incoming, keys, "left").select(
-            *[
-                F.col(c) if c in keys else F.when(F.col("_new").isNotNull(), F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c)
-                for c in target.columns
-            ]
-        )
-    elif when_matched == "delete":
-        kept = target.join(source.select(*keys), keys, "left_anti").select(*target.columns)
-    elif when_matched == "keep":
-        kept = target
-    else:
+    if when_matched not in ("update", "delete", "keep"):
         raise ValueError(f"unknown action {when_matched!r}")
-    if when_not_matched == "skip":
-        return kept
-    if when_not_matched != "insert":
+    if when_not_matched not in ("insert", "skip"):
         raise ValueError(f"unknown action {when_not_matched!r}")
-    fresh = source.join(target.select(*keys).distinct(), keys, "left_anti").select(*target.columns)
-    return kept.unionByName(fresh)
+    rows, op = merged(target, source, keys), F.col("_op")
+    if when_matched == "delete":
+        rows = rows.where(~op.eqNullSafe(UPDATE))
+    if when_not_matched == "skip":
+        rows = rows.where(~op.eqNullSafe(INSERT))
+    side = F.when(op.isNull() | (op == UPDATE) & F.lit(when_matched == "keep"), F.col("_old")).otherwise(F.col("_new"))
+    return _row(rows.withColumn("_row", side), target, keys).select(*target.columns)
+
+
+def merged(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
+    """All rows of both tables, matched by one full join: keys, the ``_old`` and the ``_new`` payload, and ``_op``.
+
+    ``_op`` is ``update`` for a match, ``insert`` for a new source row and NULL for an untouched target row.
+    NULL keys never match.
+    """
+    columns = [c for c in target.columns if c not in keys]
+    old = target.select(*keys, F.struct(F.lit(True).alias("_there"), *columns).alias("_old"))
+    new = source.select(*keys, F.struct(F.lit(True).alias("_there"), *columns).alias("_new"))
+    op = F.when(F.col("_old").isNull(), INSERT).when(F.col("_new").isNotNull(), UPDATE)
+    return old.join(new, keys, "full").withColumn("_op", op)
+
+
+def _row(df: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
+    return df.select("_op", *[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in target.columns])
 
 
 def _reject_ambiguous(target: DataFrame, source: DataFrame, keys: list[str]) -> None:
@@ -159,11 +165,9 @@ def delete_changes(df: DataFrame, condition: Column, version: int, ts) -> DataFr
 def merge_changes(target: DataFrame, source: DataFrame, keys: list[str], version: int, ts) -> DataFrame:
     """The change rows of an upsert: no untouched row of the target is written again."""
     _reject_ambiguous(target, source, keys)
-    known = target.select(*keys).distinct()
-    rows = source.select(*target.columns)
-    return stamped(rows.join(known, keys, "left_semi"), UPDATE, version, ts).unionByName(
-        stamped(rows.join(known, keys, "left_anti"), INSERT, version, ts)
-    )
+    touched = merged(target, source, keys).where(F.col("_op").isNotNull()).withColumn("_row", F.col("_new"))
+    rows = _row(touched, target, keys)
+    return stamped(rows, F.col("_op"), version, ts).select(*target.columns, *LOG_COLUMNS)
 
 
 def commit(changes: DataFrame, path: str, version: int) -> None:

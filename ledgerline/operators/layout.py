@@ -57,8 +57,10 @@ def with_cluster_number(df: DataFrame, columns: list[str], out: str, bits: int =
 
     def place(p: str) -> Column:
         kind = T.ArrayType(placed.schema[p].dataType)
-        points = F.sort_array(F.array(*[F.lit(v) for v in _cut_points(sample, p, cuts)]).cast(kind))
-        return count_at_or_below(points, F.col(p), cuts).cast("long")
+        values = _cut_points(sample, p, cuts)
+        points = F.sort_array(F.array(*[F.lit(v) for v in values]).cast(kind))
+        # A column of few values has few cuts; spread over all bits, so that it counts as much as the others.
+        return F.floor(count_at_or_below(points, F.col(p), cuts) * F.lit(1 << bits) / (len(values) + 1)).cast("long")
 
     numbered = placed.withColumns({p: place(p) for p in places})
     parts = [
@@ -86,3 +88,24 @@ def cluster_layout(df: DataFrame, columns: list[str], files: int, bits: int | No
 
 def write_clustered(df: DataFrame, columns: list[str], path: str, files: int, bits: int | None = None) -> None:
     cluster_layout(df, columns, files, bits).write.mode("errorifexists").parquet(path)
+
+
+def file_ranges(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Per file of a file-based frame and column: rows, least and greatest values, which a reader skips files by."""
+    ends = [x for i, c in enumerate(columns) for x in (F.min(c).alias(f"_low_{i}"), F.max(c).alias(f"_high_{i}"))]
+    return df.select(F.col("_metadata.file_path").alias("file_path"), *columns).groupBy("file_path").agg(F.count(F.lit(1)).alias("rows"), *ends)
+
+
+def files_touched(ranges: DataFrame, columns: list[str], wanted: DataFrame) -> DataFrame:
+    """How many files a reader of each value range opens: ``column``, ``low``, ``high`` and ``files``.
+
+    ``ranges`` comes from ``file_ranges`` over the same ``columns``; ``wanted`` has one row per range,
+    ``column`` with ``low`` and ``high`` as text.  A few rows per file and range.
+    """
+    parts = []
+    for i, c in enumerate(columns):
+        kind = ranges.schema[f"_low_{i}"].dataType
+        asked = wanted.where(F.col("column") == c).select("column", "low", "high")
+        meets = (F.col("low").cast(kind) <= F.col(f"_high_{i}")) & (F.col("high").cast(kind) >= F.col(f"_low_{i}"))
+        parts.append(asked.join(ranges.select(f"_low_{i}", f"_high_{i}"), meets, "left").groupBy("column", "low", "high").agg(F.count(f"_low_{i}").alias("files")))
+    return reduce(DataFrame.unionByName, parts)

@@ -84,9 +84,10 @@ def stop_requests(log: DataFrame) -> DataFrame:
 def meter_samples(log: DataFrame) -> DataFrame:
     """One row per sampled value; a message without samples has none."""
     parsed = unpack(messages(log, "MeterValues", shape.REQUEST), shape.METER_VALUES)
-    readings = parsed.select("*", F.explode("new_body.meter_value").alias("reading"))
-    samples = readings.select("*", F.explode("reading.sampled_value").alias("sample"))
-    return samples.select(
+    # A plain explode would have its array checked below the parsing, which parses every body once more.
+    readings = parsed.select("*", F.posexplode_outer("new_body.meter_value").alias("_at", "reading"))
+    samples = readings.select("*", F.posexplode_outer("reading.sampled_value").alias("_nth", "sample"))
+    return samples.where(F.col("_nth").isNotNull()).select(
         *LOG_COLUMNS,
         "new_body.transaction_id",
         "new_body.connector_id",

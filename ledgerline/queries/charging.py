@@ -10,7 +10,7 @@ from ledgerline.plans import charging as plan
 from ledgerline.plans.charging_schemas import START_RESPONSE
 from ledgerline.queries.message_log import message_log
 from ledgerline.session import scratch_path
-from ledgerline.sources.writers import labelled, write_parquet
+from ledgerline.sources.writers import labelled, read_routes, write_actions, write_parquet, write_route_list
 
 
 def _zoneless(df: DataFrame, *columns: str) -> DataFrame:
@@ -108,6 +108,16 @@ def last_connection(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def routed_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """The log routed into tables by action, then only the tables of requests read back."""
+    base = scratch_path(spark, "routed")
+    write_actions(message_log(spark, sf), f"{base}/tables", parts=["year"])
+    write_route_list(spark, f"{base}/tables", f"{base}/list")
+    wanted = spark.read.parquet(f"{base}/list").where(F.col("message_type") == 2)
+    rows = read_routes(spark, f"{base}/tables", wanted)
+    return rows.groupBy("action_table").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("charge_point_id").alias("points"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -124,6 +134,7 @@ QUERIES = {
         duration_hours,
         energy_kwh,
         route_actions,
+        routed_tables,
         last_connection,
     )
 }
@@ -244,6 +255,12 @@ ORACLES = {
     "route_actions": WITH
     + f"""SELECT action || CASE message_type WHEN 2 THEN 'Request' WHEN 3 THEN 'Response' END AS action_table, n
           FROM ({_KINDS})""",
+    "routed_tables": WITH
+    + """SELECT 'StartTransactionRequest' AS action_table, count(*) AS n, count(DISTINCT charge_point_id) AS points
+             FROM sessions WHERE o_orderpriority <> '5-LOW'
+         UNION ALL SELECT 'StopTransactionRequest', count(*), count(DISTINCT charge_point_id) FROM stops
+         UNION ALL SELECT 'MeterValuesRequest', count(*), count(DISTINCT charge_point_id)
+             FROM readings JOIN sessions ON o_orderkey = l_orderkey""",
     "last_connection": WITH
     + """, log AS (
             SELECT charge_point_id, 'm-' || o_orderkey AS message_id, 2 AS message_type,

@@ -6,11 +6,13 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from ledgerline.functions.casts import wall_clock
 from ledgerline.functions.scalars import calendar_parts
 from ledgerline.operators import changes as ch
 from ledgerline.operators.layout import cluster_layout as clustered
+from ledgerline.operators.layout import file_ranges, files_touched, write_clustered
 from ledgerline.operators.privacy import jitter_time as jittered
 from ledgerline.operators.privacy import pseudonymise as pseudonymised
 from ledgerline.operators.privacy import reduce_precision as coarser
@@ -19,7 +21,7 @@ from ledgerline.plans.users import FIRST_NAMES, LAST_NAMES, STREETS, make_users
 from ledgerline.session import scratch_path
 from ledgerline.sources import catalog
 from ledgerline.sources.readers import read_table, read_time_partition
-from ledgerline.sources.writers import write_parquet, write_partitioned
+from ledgerline.sources.writers import compact, file_list, write_parquet, write_partitioned
 
 SECRET = "not-a-real-secret"
 
@@ -79,7 +81,7 @@ def delete_where(spark: SparkSession, sf: str) -> DataFrame:
     return ch.delete_where(read_table(spark, sf, "customer"), F.col("c_mktsegment").isin("BUILDING", "FURNITURE"))
 
 
-def merge_upsert(spark: SparkSession, sf: str) -> DataFrame:
+def _merge_input(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     customer, supplier = read_table(spark, sf, "customer"), read_table(spark, sf, "supplier")
     changed = customer.where("c_mktsegment = 'BUILDING'").withColumn("c_acctbal", F.col("c_acctbal") + 100)
     new = supplier.select(
@@ -89,7 +91,12 @@ def merge_upsert(spark: SparkSession, sf: str) -> DataFrame:
         F.col("s_acctbal").alias("c_acctbal"),
         F.lit("SUPPLIER").alias("c_mktsegment"),
     )
-    return ch.merge_upsert(customer, changed.unionByName(new), ["c_custkey"])
+    return customer, changed.unionByName(new)
+
+
+def merge_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    customer, source = _merge_input(spark, sf)
+    return ch.merge_upsert(customer, source, ["c_custkey"])
 
 
 def check_violations(spark: SparkSession, sf: str) -> DataFrame:
@@ -167,6 +174,64 @@ def cluster_layout(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("o_orderkey", "o_custkey", "o_totalprice", wall_clock("o_orderdate").alias("o_orderdate"))
 
 
+def layout_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Files a reader of a value range opens, before and after clustering by a number and a text column."""
+    base, columns = scratch_path(spark, "layout"), ["o_custkey", "o_orderpriority"]
+    orders = read_table(spark, sf, "orders")
+    write_parquet(orders.repartition(64), f"{base}/plain")
+    write_clustered(orders, columns, f"{base}/clustered", 64)
+    twentieth = orders.agg(F.floor(F.max("o_custkey") / 20).alias("n")).first()["n"] + 1
+    steps = orders.select(F.floor(F.col("o_custkey") / twentieth).alias("s")).distinct()
+    numbers = steps.select(F.lit(columns[0]).alias("column"), (F.col("s") * twentieth).cast("string").alias("low"), ((F.col("s") + 1) * twentieth - 1).cast("string").alias("high"))
+    texts = orders.select(F.lit(columns[1]).alias("column"), F.col("o_orderpriority").alias("low"), F.col("o_orderpriority").alias("high")).distinct()
+    touched = [
+        files_touched(file_ranges(spark.read.parquet(f"{base}/{kind}"), columns), columns, numbers.unionByName(texts))
+        .groupBy("column").agg(F.count(F.lit(1)).alias("ranges"), F.sum("files").alias(kind))
+        for kind in ("plain", "clustered")
+    ]
+    both = touched[0].join(touched[1].drop("ranges"), "column")
+    return both.select("column", "ranges", (F.col("clustered") * 2 <= F.col("plain")).alias("halved"))
+
+
+def compact_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Many small files per partition value made one each: rows, their order within a value, and whether files got fewer."""
+    base = scratch_path(spark, "compact")
+    orders = read_table(spark, sf, "orders").repartitionByRange(12, "o_orderkey").sortWithinPartitions("o_orderkey")
+    orders.write.partitionBy("o_orderstatus").parquet(f"{base}/many")
+    compact(spark, f"{base}/many", f"{base}/few")
+    files = [
+        file_list(spark, f"{base}/{kind}").groupBy(F.regexp_extract("folder", "o_orderstatus=(.*)$", 1).alias("o_orderstatus")).agg(F.count(F.lit(1)).alias(kind))
+        for kind in ("many", "few")
+    ]
+    rows = spark.read.parquet(f"{base}/few")
+    # Keys ascend along the files, as they did in the order of the small ones.
+    along = W.partitionBy("o_orderstatus", "_metadata.file_path").orderBy("_metadata.row_index")
+    rises = F.coalesce(F.lag("o_orderkey").over(along) < F.col("o_orderkey"), F.lit(True))
+    kept = rows.select("o_orderstatus", "o_orderkey", rises.alias("rises")).groupBy("o_orderstatus").agg(
+        F.count(F.lit(1)).alias("n"), F.max("o_orderkey").alias("newest"), F.bool_and("rises").alias("in_order"))
+    return kept.join(files[0], "o_orderstatus").join(files[1], "o_orderstatus").select("o_orderstatus", "n", "newest", "in_order", (F.col("few") < F.col("many")).alias("fewer_files"))
+
+
+def merge_changes(spark: SparkSession, sf: str) -> DataFrame:
+    """The change rows of a merge of raised and new suppliers into customers."""
+    customer, source = _merge_input(spark, sf)
+    rows = ch.merge_changes(customer, source, ["c_custkey"], 7, "2024-01-05 00:00:00")
+    return rows.withColumn("_commit_ts", wall_clock("_commit_ts"))
+
+
+def load_twice(spark: SparkSession, sf: str) -> DataFrame:
+    """Two folders of files loaded in turn; a load without new files adds nothing, other writers do not count."""
+    base, orders = scratch_path(spark, "load"), read_table(spark, sf, "orders")
+    schema, out = orders.schema, []
+    for n in range(3):
+        if n < 2:
+            write_parquet(orders.where(F.col("o_orderkey") % 2 == n), f"{base}/in", "append")
+        out.append((n, catalog.copy_into(spark, f"{base}/in", f"{base}/table", f"{base}/checkpoint", "parquet", schema)))
+    loads = spark.createDataFrame(out, "load int, new_rows long")
+    stored = spark.read.schema(schema).parquet(f"{base}/table").agg(F.count(F.lit(1)).alias("table_rows"), F.sum("o_custkey").alias("custkeys"))
+    return loads.join(F.broadcast(stored), F.col("load") >= 0, "left")
+
+
 def gen_users(spark: SparkSession, sf: str) -> DataFrame:
     users = make_users(read_table(spark, sf, "customer").select("c_custkey"), "c_custkey", "2024-01-01 00:00:00")
     return users.withColumn("creation_date", wall_clock("creation_date"))
@@ -233,6 +298,10 @@ QUERIES = {
         assign_identity,
         generated_partition,
         cluster_layout,
+        layout_files,
+        compact_table,
+        merge_changes,
+        load_twice,
         gen_users,
         pseudonymise,
         reduce_precision,
@@ -312,6 +381,20 @@ ORACLES = {
     "generated_partition": """SELECT o_orderkey, o_totalprice, DATE '1997-05-01' AS order_month FROM orders
                               WHERE o_orderdate = TIMESTAMP '1997-05-28'""",
     "cluster_layout": "SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate FROM orders",
+    "layout_files": """
+        SELECT 'o_custkey' AS "column", count(DISTINCT o_custkey // (SELECT max(o_custkey) // 20 + 1 FROM orders)) AS ranges, TRUE AS halved FROM orders
+        UNION ALL SELECT 'o_orderpriority', count(DISTINCT o_orderpriority), TRUE FROM orders""",
+    "compact_table": """SELECT o_orderstatus, count(*) AS n, max(o_orderkey) AS newest, TRUE AS in_order, TRUE AS fewer_files
+                        FROM orders GROUP BY o_orderstatus""",
+    "merge_changes": """
+        SELECT *, 'update' AS _op, CAST(7 AS BIGINT) AS _version, TIMESTAMP '2024-01-05' AS _commit_ts
+        FROM (SELECT * REPLACE (c_acctbal + 100 AS c_acctbal) FROM customer WHERE c_mktsegment = 'BUILDING')
+        UNION ALL SELECT s_suppkey + 10000000000, s_name, s_nationkey, s_acctbal, 'SUPPLIER', 'insert', 7, TIMESTAMP '2024-01-05'
+        FROM supplier""",
+    "load_twice": """
+        SELECT CAST(n AS INTEGER) AS load, count(o_orderkey) AS new_rows, (SELECT count(*) FROM orders) AS table_rows,
+               (SELECT CAST(sum(o_custkey) AS BIGINT) FROM orders) AS custkeys
+        FROM range(3) r(n) LEFT JOIN orders ON o_orderkey % 2 = n AND n < 2 GROUP BY n""",
     "gen_users": f"""
         SELECT id, creation_date, firstname, lastname, lower(firstname || '.' || lastname || '@example.com') AS email,
                address, gender, age_group FROM (

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -76,19 +75,9 @@ def copy_into(
 
     A stream that takes what is there and stops: its checkpoint remembers the loaded
     files, and its sink never shows a half-loaded one, whenever the job died.  Old
-    files are listed but not read.  Rows are counted from the footers of the target, since
-    a stream reports only its last batches.
+    files are listed but not read.  New rows are those the stream's own batches took, one batch
+    and perhaps one that a died run left behind, whoever else writes to the table.
     """
-    before = _stored_rows(spark, path, schema)
     query = stream_to_parquet(stream_files(spark, source, fmt, schema), path, checkpoint)
     query.awaitTermination()
-    return _stored_rows(spark, path, schema) - before
-
-
-def _stored_rows(spark: SparkSession, path: str, schema: T.StructType | str) -> int:
-    try:
-        return spark.read.schema(schema).parquet(path).count()
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return 0
-        raise
+    return sum(p["numInputRows"] for p in query.recentProgress)

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import math
 from datetime import date
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql import Window as W
 
 from ledgerline.functions.scalars import calendar_parts, message_label
 
@@ -32,6 +33,11 @@ def write_partitioned(df: DataFrame, path: str, columns: list[str], mode: str =
     spread(df, columns).write.partitionBy(*columns).mode(mode).parquet(path)
 
 
+def replace_partitions(df: DataFrame, path: str, columns: list[str]) -> None:
+    """Write the partitions that ``df`` has rows of, in place of what they held; others stay."""
+    spread(df, columns).write.partitionBy(*columns).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+
+
 def write_event_log(df: DataFrame, path: str, ts: str = "write_timestamp") -> None:
     """Append log rows partitioned by charge point and day of ``ts``."""
     write_partitioned(df.withColumns(calendar_parts(ts, minute=False)), path, LOG_PARTITIONS)
@@ -42,13 +48,31 @@ def labelled(df: DataFrame) -> DataFrame:
     return df.withColumn("action_table", message_label(F.col("action"), F.col("message_type")))
 
 
-def write_actions(df: DataFrame, base: str, ts: str = "write_timestamp") -> None:
+def write_actions(df: DataFrame, base: str, ts: str = "write_timestamp", parts: list[str] | None = None) -> None:
     """Append each message to the table of its action and direction in one pass.
 
-    Tables are folders ``action_table=...``; an action without rows gets no folder.
+    Tables are folders ``action_table=...``; an action without rows gets no folder.  Inside
+    they are partitioned by charge point and day, or by the given columns.
     """
     routed = labelled(df).withColumns(calendar_parts(ts, minute=False))
-    write_partitioned(routed.where(F.col("action_table").isNotNull()), base, ["action_table", *LOG_PARTITIONS])
+    columns = ["action_table", *(LOG_PARTITIONS if parts is None else parts)]
+    kept = routed.where(F.col("action_table").isNotNull())
+    unused = [c for c in ("year", "month", "day") if c not in columns and c not in df.columns]
+    write_partitioned(kept.drop(*unused), base, columns)
+
+
+def write_route_list(spark: SparkSession, base: str, path: str) -> None:
+    """One row per routed table: its name, direction and rows, for reading only some of them."""
+    rows = spark.read.parquet(base).groupBy("action_table", "message_type").agg(F.count(F.lit(1)).alias("rows"))
+    write_parquet(rows, path)
+
+
+def read_routes(spark: SparkSession, base: str, wanted: DataFrame) -> DataFrame:
+    """Messages of the tables that ``wanted``, rows of a route list, names.
+
+    Folders of other tables are left out when the job runs, as soon as the names are known.
+    """
+    return spark.read.parquet(base).join(wanted.select("action_table"), "action_table")
 
 
 def write_json_lines(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -108,19 +132,36 @@ def has_rows(df: DataFrame) -> bool:
     return not df.isEmpty()
 
 
-def stored_bytes(df: DataFrame) -> int:
-    """Size of the files a file-based frame reads, from file metadata and no data columns."""
-    files = df.select("_metadata.file_path", "_metadata.file_size").distinct()
-    return files.agg(F.coalesce(F.sum("file_size"), F.lit(0))).first()[0]
+def file_list(spark: SparkSession, path: str) -> DataFrame:
+    """``file_path``, ``folder`` and ``file_size`` of a table's files, from their listing; no file is opened."""
+    files = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(path)
+        .select("_metadata.file_path", "_metadata.file_size")
+    )
+    return files.withColumn("folder", F.regexp_extract("file_path", "^(.*)/[^/]*$", 1))
 
 
 def compact(spark: SparkSession, path: str, target: str, file_bytes: int = 512 << 20) -> int:
     """Rewrite many small files as files of about ``file_bytes`` into a new path.
 
-    Returns the number of files asked for.  Readers of the old path are not
-    disturbed; switch the table's location when the job is done.
+    Neighbouring files of a folder are put into bins by their listed sizes, and each bin becomes one
+    file, so partitions stay as they are and rows keep their order.  Returns the number of
+    files.  Readers of the old path are not disturbed; switch the table's location when the job is done.
     """
+    in_folder = W.partitionBy("folder").orderBy("file_path").rowsBetween(W.unboundedPreceding, -1)
+    place = F.floor(F.coalesce(F.sum("file_size").over(in_folder), F.lit(0)) / file_bytes)
+    # One row per file from here on.
+    along = W.partitionBy(F.lit(0)).orderBy("folder", "_bin")
+    bins = file_list(spark, path).withColumn("_bin", place).select("file_path", "folder", (F.dense_rank().over(along) - 1).alias("_bin"))
+    plan = bins.agg(F.max("_bin").alias("last"), F.min("folder").alias("folder")).first()
     df = spark.read.parquet(path)
-    files = max(1, math.ceil(stored_bytes(df) / file_bytes))
-    write_parquet(df.repartition(files), target, mode=None)
+    if plan["last"] is None:
+        write_parquet(df, target, mode=None)
+        return 0
+    files = plan["last"] + 1
+    parts = [c for c in df.columns if f"/{c}=" in unquote(plan["folder"])]
+    rows = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    dealt = rows.join(bins.select(F.col("file_path").alias("_file"), "_bin"), "_file").repartitionById(files, F.col("_bin").cast("int"))
+    writer = dealt.sortWithinPartitions(*parts, "_bin", "_file", "_row").drop("_bin", "_file", "_row").write
+    (writer.partitionBy(*parts) if parts else writer).mode("errorifexists").parquet(target)
     return files

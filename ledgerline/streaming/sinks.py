@@ -34,6 +34,18 @@ def stream_update(
     return _writer(df, checkpoint, "update", trigger).foreachBatch(handle).start()
 
 
+def stream_batches(
+    df: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, trigger: dict | None = None
+) -> StreamingQuery:
+    """Hand the new rows of every micro-batch to ``handle(rows, batch_id)``, under the same rule as ``stream_update``."""
+    return _writer(df, checkpoint, "append", trigger).foreachBatch(handle).start()
+
+
+def late_groups(query: StreamingQuery) -> int:
+    """Groups that the watermark dropped as too late in the batches of a query, counted after the tasks' own aggregation."""
+    return sum(int(op["numRowsDroppedByWatermark"]) for p in query.recentProgress for op in p["stateOperators"])
+
+
 def stream_live(df: DataFrame, name: str, mode: str = "update", trigger: dict | None = None) -> StreamingQuery:
     """An in-memory view of a small result, such as totals by status, for looking at."""
     return _writer(df, None, mode, trigger).format("memory").queryName(name).start()

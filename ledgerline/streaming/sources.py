@@ -3,7 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
+
+from ledgerline.operators.windows import dense_index
+from ledgerline.streaming.sinks import stream_batches
 
 
 def rate_stream(spark: SparkSession, rows_per_second: int = 10) -> DataFrame:
@@ -24,6 +29,28 @@ def replay(clock: DataFrame, static: DataFrame, index: str = "index", restamp: s
     return joined.withColumnRenamed("_tick", restamp) if restamp else joined
 
 
+def store_replayed(static: DataFrame, order: list[str], path: str, index: str = "index") -> None:
+    """Number a table once and store it in the order of the numbers, for a replay of any length."""
+    dense_index(static, order, index).write.mode("overwrite").parquet(path)
+
+
+def replay_to(
+    clock: DataFrame, path: str, out: str, checkpoint: str, index: str = "index", restamp: str | None = None, trigger: dict | None = None
+) -> StreamingQuery:
+    """Replay a stored table (``store_replayed``) by a stream of ticks, into one folder of ``out`` per micro-batch.
+
+    A batch reads only the part of the table its ticks point at, so the work of a batch follows its
+    ticks and not the table.  A batch that runs again after a failure replaces its folder.
+    """
+
+    def handle(ticks: DataFrame, batch: int) -> None:
+        ends = ticks.agg(F.min("value").alias("low"), F.max("value").alias("high")).first()
+        rows = ticks.sparkSession.read.parquet(path).where(F.col(index).between(ends["low"], ends["high"]))
+        replay(ticks, rows, index, restamp).write.mode("overwrite").parquet(f"{out}/batch={batch}")
+
+    return stream_batches(clock, handle, checkpoint, trigger)
+
+
 def stream_files(
     spark: SparkSession, path: str, fmt: str, schema: T.StructType | str, max_files: int | None = None
 ) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerline.plans import charging_schemas as shape
 from ledgerline.session import scratch_path
 from ledgerline.sources import catalog, readers, writers
-from tests.conftest import partition_filters
+from tests.conftest import explained, partition_filters
 
 
 def rows(df):
@@ -148,12 +148,45 @@ def test_emptiness_and_compaction(spark, tmp_path):
     assert writers.has_rows(spark.range(1)) and not writers.has_rows(spark.range(0))
     path, target = str(tmp_path / "many"), str(tmp_path / "few")
     spark.range(10_000).repartition(16).write.parquet(path)
-    assert writers.stored_bytes(spark.read.parquet(path)) == sum(f.stat().st_size for f in (tmp_path / "many").glob("*.parquet"))
+    listed = writers.file_list(spark, path).agg(F.sum("file_size")).first()[0]
+    assert listed == sum(f.stat().st_size for f in (tmp_path / "many").glob("*.parquet"))
     assert writers.compact(spark, path, target, file_bytes=30_000) in (2, 3, 4)
     assert 2 <= len(list((tmp_path / "few").glob("*.parquet"))) <= 4
     assert spark.read.parquet(target).exceptAll(spark.read.parquet(path)).isEmpty()
 
 
+def test_compaction_keeps_partitions_and_order(spark, tmp_path):
+    path, target = str(tmp_path / "many"), str(tmp_path / "few")
+    frame = spark.range(3000).select("id", (F.col("id") % 3).cast("string").alias("k"), (F.col("id") % 2).alias("p q"))
+    frame.repartitionByRange(10, "id").sortWithinPartitions("id").write.partitionBy("k", "p q").parquet(path)
+    files = {str(f.parent.relative_to(tmp_path / "many")): 0 for f in (tmp_path / "many").rglob("*.parquet")}
+    assert writers.compact(spark, path, target) == len(files) == 6
+    few = [str(f.parent.relative_to(tmp_path / "few")) for f in (tmp_path / "few").rglob("*.parquet")]
+    assert sorted(few) == sorted(files)
+    for folder in few:
+        ids = [r.id for r in spark.read.parquet(f"{target}/{folder}").collect()]
+        assert ids == sorted(ids) and len(ids) == 500
+    assert spark.read.parquet(target).exceptAll(spark.read.parquet(path)).isEmpty()
+
+
+def test_replaced_partitions_leave_others(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(1, "a"), (2, "b")], "v int, k string").write.partitionBy("k").parquet(path)
+    writers.replace_partitions(spark.createDataFrame([(9, "b")], "v int, k string"), path, ["k"])
+    assert rows(spark.read.parquet(path)) == [(1, "a"), (9, "b")]
+
+
+def test_routed_tables_are_pruned_when_the_job_runs(spark, tmp_path):
+    log = [("m1", 2, "cp1", "StopTransaction", "2023-01-01T10:00:00Z", "{}"), ("m2", 3, "cp1", "StartTransaction", "2023-01-01T10:00:00Z", "{}")]
+    frame = spark.createDataFrame(log, "message_id string, message_type int, charge_point_id string, action string, write_timestamp string, body string")
+    base, names = str(tmp_path / "tables"), str(tmp_path / "list")
+    writers.write_actions(frame, base, parts=["year"])
+    writers.write_route_list(spark, base, names)
+    got = writers.read_routes(spark, base, spark.read.parquet(names).where("message_type = 2"))
+    assert [r.message_id for r in got.collect()] == ["m1"]
+    assert "dynamicpruning" in explained(got)
+
+
 def test_catalog(spark, tmp_path):
     assert catalog.clean_name("my table-01!") == "mytable01"
     with pytest.raises(ValueError):

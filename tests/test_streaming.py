@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from ledgerline.plans import charging_schemas as shape
 from ledgerline.plans import charts
 from ledgerline.streaming import layers, status
-from ledgerline.streaming.sinks import stream_live, stream_to_parquet, stream_update
-from ledgerline.streaming.sources import rate_stream, replay, stream_files, stream_table
+from ledgerline.streaming.sinks import late_groups, stream_live, stream_to_parquet, stream_update
+from ledgerline.streaming.sources import rate_stream, replay, replay_to, store_replayed, stream_files, stream_table
 from tests.conftest import partition_filters
 from tests.test_charging import log  # noqa: F401
 from tests.test_statistics import chart_rows
@@ -126,6 +126,13 @@ def test_bronze_partitions_and_minute_job(spark, log, tmp_path):  # noqa: F811
     starts = spark.read.parquet(f"{base}/StartTransactionRequest").first()
     assert (starts.meter_start, starts.charge_point_id, starts.day) == (100, "cp1", 1)
     assert layers.silver_minute(spark, bronze, base, datetime(2023, 1, 1, 10, 6)) == ["MeterValues" + "Request"]
+    layers.silver_span(spark, bronze, base, datetime(2023, 1, 1, 10), datetime(2023, 1, 1, 11))
+    before = {t: rows(spark.read.parquet(f"{base}/{t}")) for t in [*written, "MeterValuesRequest"]}
+    assert len(before["StartTransactionRequest"]) > 1
+    # A second run of a job, or one over more minutes, replaces what is there and adds nothing.
+    layers.silver_minute(spark, bronze, base, datetime(2023, 1, 1, 10, 1, 30))
+    layers.silver_span(spark, bronze, base, datetime(2023, 1, 1, 10), datetime(2023, 1, 1, 11))
+    assert {t: rows(spark.read.parquet(f"{base}/{t}")) for t in before} == before
     assert layers.silver_minute(spark, bronze, base, datetime(2023, 1, 1, 9, 0)) == []
 
 
@@ -153,3 +160,32 @@ def test_files_are_taken_in_bounded_batches(spark, tmp_path):
     query.awaitTermination()
     assert len([p for p in query.recentProgress if p.numInputRows]) >= 4
     assert rows(spark.read.parquet(str(tmp_path / "o"))) == [(0,), (1,), (2,), (3,)]
+
+
+def test_rows_later_than_the_watermark_are_dropped_and_counted(spark, tmp_path):
+    """Four runs from one checkpoint: open windows are kept between runs, late rows never reach the result."""
+    log, out, checkpoint = (str(tmp_path / n) for n in ("log", "out", "checkpoint"))
+    minutes = [[0, 1, 12], [13, 2, 14], [40, 3], [41, 90, 12]]
+    dropped = []
+    for batch in minutes:
+        frame = spark.createDataFrame([(m,) for m in batch], "m int").select(F.expr("timestamp'2024-01-01' + make_dt_interval(0, 0, m)").alias("ts"))
+        frame.coalesce(1).write.mode("append").parquet(log)
+        counts = status.windowed_counts(stream_table(spark, log), [F.lit("k").alias("k")], "ts", "ts", "n")
+        query = stream_to_parquet(counts, out, checkpoint)
+        query.awaitTermination()
+        dropped.append(late_groups(query))
+    got = {(r.window.start.minute, r.window.start.hour): r.n for r in spark.read.parquet(out).collect()}
+    # Watermarks when the four batches begin: none, 0:02, 0:04, 0:30.  Minute 2 still counts, minute 3 too; the second 12 is late.
+    assert dropped == [0, 0, 0, 1]
+    assert got == {(0, 0): 4, (10, 0): 3, (40, 0): 2}
+
+
+def test_replay_reads_only_what_the_ticks_point_at(spark, tmp_path):
+    table, ticks, out, checkpoint = (str(tmp_path / n) for n in ("table", "ticks", "out", "checkpoint"))
+    store_replayed(spark.range(100).select((F.col("id") * 10).alias("v")), ["v"], table)
+    for low in (0, 60, 98):
+        spark.range(low, low + 4).select(F.col("id").alias("value"), F.current_timestamp().alias("timestamp")).write.mode("append").parquet(ticks)
+        replay_to(stream_table(spark, ticks), table, out, checkpoint).awaitTermination()
+    assert rows(spark.read.parquet(out).select("batch", "v")) == sorted(
+        [(0, v) for v in (0, 10, 20, 30)] + [(1, v) for v in (600, 610, 620, 630)] + [(2, v) for v in (980, 990, None, None)], key=repr
+    )
