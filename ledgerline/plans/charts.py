@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.casts import to_bool, to_day, to_float, to_int
 from ledgerline.operators import aggregates as agg
-from ledgerline.sources.writers import split_quality, write_parquet
+from ledgerline.sources.writers import split_quality, write_parquet, write_with_quarantine
 
 # Columns of a raw chart row, all text.
 RAW_COLUMNS = """
@@ -18,7 +18,10 @@ RAW_COLUMNS = """
 RAW_SCHEMA = ", ".join(f"{c} string" for c in RAW_COLUMNS)
 
 # Columns that are not kept, and the types of those that are not text.
-DROPPED = ["Unnamed0", "url", "available_markets"]
+DROPPED = ["Unnamed0", "Unnamed: 0", "url", "available_markets"]
+# Headers of files that were written with a nameless index column.
+HEADERS = {"id": "_c0", "Unnamed0": "Unnamed: 0"}
+BATCH_COLUMNS = [HEADERS.get(c, c) for c in RAW_COLUMNS]
 CONVERSIONS = {
     "rank": to_int,
     "date": to_day,
@@ -30,6 +33,7 @@ CONVERSIONS = {
     "af_danceability": to_float,
     "af_energy": to_float,
 }
+# Columns that are correlated, features that are profiled, and rows of a frequent artist.
 CORRELATED = """
     popularity af_danceability af_energy af_key af_loudness af_mode af_speechiness af_acousticness
     af_instrumentalness af_liveness af_valence af_tempo af_time_signature
@@ -39,7 +43,11 @@ FREQUENT = 1000
 
 
 def clean(raw: DataFrame) -> DataFrame:
-    """Typed columns; text that does not fit its type becomes NULL.  Works on streams too."""
+    """Typed columns; text that does not fit its type becomes NULL.  Works on streams too.
+
+    Takes the names of a stream's schema and those of files with a nameless index column.
+    """
+    raw = raw.withColumnRenamed(HEADERS["id"], "id")
     typed = {c: convert(c) for c, convert in CONVERSIONS.items() if c in raw.columns}
     return raw.drop(*DROPPED).withColumns(typed)
 
@@ -105,25 +113,33 @@ def yearly_popularity(df: DataFrame) -> DataFrame:
     return per_artist.groupBy("year").agg(F.avg("popularity").alias("overall_popularity"))
 
 
-def build_layers(raw: DataFrame, base: str) -> dict[str, DataFrame]:
-    """Bronze, silver (good rows and quarantine) and the gold tables under ``base``."""
+QUESTIONS = (
+    regional_profile,
+    feature_correlation,
+    artist_popularity,
+    release_date_gaps,
+    release_year_share,
+    release_year_top3,
+    favourite_artists,
+    favourite_artist_means,
+    yearly_popularity,
+)
+
+
+def build_silver(raw: DataFrame, base: str) -> DataFrame:
+    """Bronze and silver tables under ``base``; returns the good silver rows.
+
+    Silver is written in one pass, with rows that lack a stream count in a folder of their own.
+    """
     spark = raw.sparkSession
     write_parquet(raw, f"{base}/bronze")
-    good, failed = split_streams(clean(spark.read.parquet(f"{base}/bronze")))
-    write_parquet(good, f"{base}/silver")
-    write_parquet(failed, f"{base}/quarantine")
-    silver = spark.read.parquet(f"{base}/silver")
-    questions = (
-        regional_profile,
-        feature_correlation,
-        artist_popularity,
-        release_date_gaps,
-        release_year_share,
-        release_year_top3,
-        favourite_artists,
-        favourite_artist_means,
-        yearly_popularity,
-    )
-    for question in questions:
+    write_with_quarantine(clean(spark.read.parquet(f"{base}/bronze")), F.col("streams").isNotNull(), f"{base}/silver")
+    return spark.read.parquet(f"{base}/silver").where("quality = 'good'").drop("quality")
+
+
+def build_layers(raw: DataFrame, base: str) -> dict[str, DataFrame]:
+    """Bronze, silver (good rows and quarantine) and the gold tables under ``base``."""
+    silver, spark = build_silver(raw, base), raw.sparkSession
+    for question in QUESTIONS:
         write_parquet(question(silver), f"{base}/gold/{question.__name__}")
-    return {q.__name__: spark.read.parquet(f"{base}/gold/{q.__name__}") for q in questions}
+    return {q.__name__: spark.read.parquet(f"{base}/gold/{q.__name__}") for q in QUESTIONS}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["charging", "columns", "statistics", "windowed", "tables", "streamed"]
+MODULES = ["charging", "columns", "statistics", "chart_layers", "windowed", "tables", "storage", "streamed"]
 
 
 def _merged(name: str) -> dict:

@@ -253,7 +253,8 @@ def jitter_time(spark: SparkSession, sf: str) -> DataFrame:
     return jittered(events, "ts", ["user_id"], "demo").withColumn("ts", wall_clock("ts"))
 
 
-def protected_extract(spark: SparkSession, sf: str) -> DataFrame:
+def readings(spark: SparkSession, sf: str) -> DataFrame:
+    """Events as sensor readings with a text of the user's place."""
     events, customer = read_table(spark, sf, "events"), read_table(spark, sf, "customer")
     nation = read_table(spark, sf, "nation")
     placed = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
@@ -265,14 +266,17 @@ def protected_extract(spark: SparkSession, sf: str) -> DataFrame:
         F.concat(F.lit("Zone/"), F.col("c_nationkey")),
     ]
     quoted = [F.concat(F.lit("'"), p, F.lit("'")) for p in parts]
-    readings = events.join(placed, F.col("user_id") == F.col("c_custkey")).select(
+    return events.join(placed, F.col("user_id") == F.col("c_custkey")).select(
         "event_id",
         F.col("user_id").cast("string").alias("user_id"),
         F.col("ts").alias("timestamp"),
         F.concat(F.lit("("), F.concat_ws(", ", *quoted), F.lit(")")).alias("location"),
         F.col("value").alias("air_quality_index"),
     )
-    return protected(readings, SECRET).withColumn("timestamp", wall_clock("timestamp"))
+
+
+def protected_extract(spark: SparkSession, sf: str) -> DataFrame:
+    return protected(readings(spark, sf), SECRET).withColumn("timestamp", wall_clock("timestamp"))
 
 
 QUERIES = {
