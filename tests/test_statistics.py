@@ -191,7 +191,7 @@ def chart_rows(spark):
 
 def test_chart_layers(spark, tmp_path):
     gold = charts.build_layers(chart_rows(spark), str(tmp_path))
-    quarantine = spark.read.parquet(f"{tmp_path}/quarantine")
+    quarantine = spark.read.parquet(f"{tmp_path}/silver").where("quality = 'quarantine'")
     assert [r.artist for r in quarantine.collect()] == ["Cat"]
     assert not {"url", "available_markets", "Unnamed0"} & set(quarantine.columns)
     favourites = {(r.region, r.year): (r.artist, r.popularity) for r in gold["favourite_artists"].collect()}
