@@ -153,3 +153,13 @@ def test_search_odd_rows_and_shards(spark, odd):  # noqa: F811
 def test_crc_of_positions(spark):
     row = best_fit.matrix_digests(best_fit.packed_matrix(spark.createDataFrame([(1, "")], "doc_id bigint, text string"))).first()
     assert row.positions_crc32 == zlib.crc32(np.r_[0, np.arange(1023)].astype("<u4").tobytes()) and row.n_tokens == 1
+
+
+def test_deep_and_long_pages(spark):
+    deep = "<body><article><p>" + "<b>" * 5000 + "deep" + "</b>" * 5000 + "</p></article></body>"
+    long = "<body><article>" + "".join(f"<p class='c{i % 7}'>line {i}</p>" for i in range(20_000)) + "</article></body>"
+    other = "<body><article>" + "".join(f"<p class='c{i % 5}'>line {i}</p>" for i in range(15_000)) + "</article></body>"
+    rows = [(1, "http://a.x/1", other), (2, "http://a.x/2", deep), (3, "http://a.x/3", long)]
+    got = {r.page_id: r.text for r in wrappers.extract_main_text(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert got[2] == "deep"
+    assert got[3] == " ".join(f"line {i}" for i in range(20_000)) and got[1] == " ".join(f"line {i}" for i in range(15_000))
