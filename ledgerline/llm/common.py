@@ -26,6 +26,12 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[df[f"`{c}`"] for c in df.columns if c.lower() not in taken])
 
 
+def aside(df: DataFrame, inner: tuple[str, ...]) -> dict[str, str]:
+    """Other names for the input columns that clash with names an operator uses inside, in any case of letters."""
+    used = {n.lower() for n in inner}
+    return {c: f"_aside_{i}" for i, c in enumerate(df.columns) if c.lower() in used}
+
+
 def plain_text(name: str) -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 

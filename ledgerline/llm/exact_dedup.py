@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import plain_text, small_or_plain, stored, without
+from ledgerline.llm.common import aside, plain_text, small_or_plain, stored, without
 
 WHITE = r"[\x20\x09-\x0D]+"
 OUT = ("keep_id", "group_size", "kept")
@@ -35,6 +35,11 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str, head: int) -> DataFrame:
     return texts.select("_id", "_norm", F.octet_length("_norm").alias("_length"), start.alias("_head"))
 
 
+#: Columns returned beside ``OUT``, and those used on the way.
+_MORE = ("_same", "_id", *_KEY)
+_INNER = (*_MORE, "_member", *[f"_m{c}" for c in _KEY])
+
+
 def duplicate_members(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", head: int = 128) -> DataFrame:
     """One row per id, length and head hash of every text that occurs twice or more: ``keep_id``,
     ``group_size`` and ``_same``, the number of rows with this very id and text."""
@@ -58,9 +63,15 @@ def with_verdict(
     ``carry`` names expressions over the input to return in place of its columns, so
     that texts need not travel when only a digest of them is wanted.
     """
+    if carry is None and (other := aside(docs, _INNER)):
+        given = docs.toDF(*[other.get(c, c) for c in docs.columns])
+        kept = with_verdict(given, other.get(id_col, id_col), other.get(text_col, text_col), head)
+        # The operator's own columns replace those of the input.
+        back = {v: k for k, v in other.items() if k.lower() not in {n.lower() for n in _MORE}}
+        return kept.select(*[F.col(f"`{c}`").alias(back.get(c, c)) for c in kept.columns if c in back or c not in other.values()])
     members = duplicate_members(docs, id_col, text_col, head).withColumnRenamed("_id", "_member")
     members = members.select("_member", *[F.col(c).alias(f"_m{c}") for c in _KEY], "keep_id", "group_size", "_same")
-    base = without(docs, *OUT, "_length", "_head") if carry is None else docs
+    base = without(docs, *OUT) if carry is None else docs
     cols = [F.col(f"`{c}`") for c in base.columns] if carry is None else [e.alias(n) for n, e in carry.items()]
     norm = normalised(text_col)
     rows = base.select(

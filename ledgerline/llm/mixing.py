@@ -27,11 +27,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from ledgerline.llm.common import without
+from ledgerline.llm.common import aside, without
 
 OUT = ("block", "slot", "position", "in_mix")
 
 
+#: Columns used on the way; input columns of these names are renamed meanwhile.
+_INNER = ("_s", "_h", "_b", "_n", "_start", "_r", "_t", "a", "p", "s", "t")
+
+
 def period_shares(weights: dict[str, float], slots: int) -> dict[str, int]:
     """Whole slots for each source, at least one, that sum to ``slots`` (largest remainders)."""
     total = sum(weights.values())
@@ -90,6 +94,12 @@ def mix_sources(
     Given weights must name every source. The list of sources is configuration: it,
     and nothing else, comes to the driver.
     """
+    if other := aside(docs, _INNER):
+        given = docs.toDF(*[other.get(c, c) for c in docs.columns])
+        names = [other.get(c, c) for c in (id_col, source_col, text_col)]
+        mixed = mix_sources(given, weights, *names, block, alpha, slots, bucket_rows)
+        back = {v: k for k, v in other.items()}
+        return mixed.toDF(*[back.get(c, c) for c in mixed.columns])
     key = F.coalesce(F.concat(F.lit("="), F.col(source_col).cast("string")), F.lit("null"))
     counts = {r["_s"]: r["n"] for r in docs.groupBy(key.alias("_s")).agg(F.count(F.lit(1)).alias("n")).collect()}
     base = without(docs, *OUT)

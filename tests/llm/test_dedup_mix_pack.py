@@ -231,3 +231,21 @@ def test_pipeline_on_an_empty_table(spark, odd):
     empty = odd.limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, SF).count() == 0
+
+
+def test_inner_names_of_exact_dedup_may_be_columns(odd):
+    names = ("_id", "_member", "_same", "_m_length", "_head", "_n")
+    got = exact_dedup.with_verdict(clashing(odd, *names))
+    assert got.where("_member = 'theirs' AND _m_length = 'theirs' AND _n = 'theirs' AND _same >= 1").count() == len(ODD)
+    plain = exact_dedup.with_verdict(odd)
+    assert Counter(got.select(plain.columns).collect()) == Counter(plain.collect())
+
+
+def test_inner_names_of_mixing_may_be_columns(odd):
+    names = ("a", "P", "_s", "_h", "_r", "_b", "_t", "s", "t", "Slot")
+    plain = mixing.mix_sources(odd)
+    got = mixing.mix_sources(clashing(odd, *names))
+    assert [c for c in got.columns if c in names] == [n for n in names if n != "Slot"]
+    assert got.where(" AND ".join(f"{n} = 'theirs'" for n in names if n != "Slot")).count() == len(ODD)
+    assert Counter(got.select(plain.columns).collect()) == Counter(plain.collect())
+    assert mixing.mix_sources(odd.withColumnRenamed("source", "s"), source_col="s").columns[3] == "s"
