@@ -96,16 +96,17 @@ def file_ranges(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select(F.col("_metadata.file_path").alias("file_path"), *columns).groupBy("file_path").agg(F.count(F.lit(1)).alias("rows"), *ends)
 
 
-def files_touched(ranges: DataFrame, columns: list[str], wanted: DataFrame) -> DataFrame:
-    """How many files a reader of each value range opens: ``column``, ``low``, ``high`` and ``files``.
+def files_touched(ranges: DataFrame, columns: list[str], wanted: list[tuple[str, object, object]]) -> DataFrame:
+    """How many files a reader of each value range opens: ``column``, ``low``, ``high`` as text, and ``files``.
 
-    ``ranges`` comes from ``file_ranges`` over the same ``columns``; ``wanted`` has one row per range,
-    ``column`` with ``low`` and ``high`` as text.  A few rows per file and range.
+    ``ranges`` comes from ``file_ranges`` over the same ``columns``; ``wanted`` lists (column, low, high).
     """
-    parts = []
-    for i, c in enumerate(columns):
-        kind = ranges.schema[f"_low_{i}"].dataType
-        asked = wanted.where(F.col("column") == c).select("column", "low", "high")
-        meets = (F.col("low").cast(kind) <= F.col(f"_high_{i}")) & (F.col("high").cast(kind) >= F.col(f"_low_{i}"))
-        parts.append(asked.join(ranges.select(f"_low_{i}", f"_high_{i}"), meets, "left").groupBy("column", "low", "high").agg(F.count(f"_low_{i}").alias("files")))
-    return reduce(DataFrame.unionByName, parts)
+
+    def meets(column: str, low: object, high: object) -> Column:
+        i = columns.index(column)
+        inside = (F.lit(low) <= F.col(f"_high_{i}")) & (F.lit(high) >= F.col(f"_low_{i}"))
+        texts = [F.lit(column).alias("column"), F.lit(str(low)).alias("low"), F.lit(str(high)).alias("high")]
+        return F.struct(*texts, F.coalesce(inside, F.lit(False)).cast("int").alias("files"))
+
+    each = ranges.select(F.inline(F.array(*[meets(*w) for w in wanted])))
+    return each.groupBy("column", "low", "high").agg(F.sum("files").alias("files"))

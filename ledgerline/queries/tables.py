@@ -180,12 +180,13 @@ def layout_files(spark: SparkSession, sf: str) -> DataFrame:
     orders = read_table(spark, sf, "orders")
     write_parquet(orders.repartition(64), f"{base}/plain")
     write_clustered(orders, columns, f"{base}/clustered", 64)
-    twentieth = orders.agg(F.floor(F.max("o_custkey") / 20).alias("n")).first()["n"] + 1
-    steps = orders.select(F.floor(F.col("o_custkey") / twentieth).alias("s")).distinct()
-    numbers = steps.select(F.lit(columns[0]).alias("column"), (F.col("s") * twentieth).cast("string").alias("low"), ((F.col("s") + 1) * twentieth - 1).cast("string").alias("high"))
-    texts = orders.select(F.lit(columns[1]).alias("column"), F.col("o_orderpriority").alias("low"), F.col("o_orderpriority").alias("high")).distinct()
+    last = orders.agg(F.max("o_custkey").alias("n")).first()["n"]
+    step = last // 20 + 1
+    wanted: list[tuple] = [(columns[0], low, low + step - 1) for low in range(0, last + 1, step)]
+    # Priorities are a handful of names.
+    wanted += [(columns[1], r[0], r[0]) for r in orders.select("o_orderpriority").distinct().collect()]
     touched = [
-        files_touched(file_ranges(spark.read.parquet(f"{base}/{kind}"), columns), columns, numbers.unionByName(texts))
+        files_touched(file_ranges(spark.read.parquet(f"{base}/{kind}"), columns), columns, wanted)
         .groupBy("column").agg(F.count(F.lit(1)).alias("ranges"), F.sum("files").alias(kind))
         for kind in ("plain", "clustered")
     ]
@@ -227,9 +228,9 @@ def load_twice(spark: SparkSession, sf: str) -> DataFrame:
         if n < 2:
             write_parquet(orders.where(F.col("o_orderkey") % 2 == n), f"{base}/in", "append")
         out.append((n, catalog.copy_into(spark, f"{base}/in", f"{base}/table", f"{base}/checkpoint", "parquet", schema)))
+    stored = spark.read.schema(schema).parquet(f"{base}/table").agg(F.count(F.lit(1)).alias("n"), F.sum("o_custkey").alias("keys")).first()
     loads = spark.createDataFrame(out, "load int, new_rows long")
-    stored = spark.read.schema(schema).parquet(f"{base}/table").agg(F.count(F.lit(1)).alias("table_rows"), F.sum("o_custkey").alias("custkeys"))
-    return loads.join(F.broadcast(stored), F.col("load") >= 0, "left")
+    return loads.withColumns({"table_rows": F.lit(stored["n"]).cast("long"), "custkeys": F.lit(stored["keys"]).cast("long")})
 
 
 def gen_users(spark: SparkSession, sf: str) -> DataFrame:
@@ -386,7 +387,7 @@ ORACLES = {
                               WHERE o_orderdate = TIMESTAMP '1997-05-28'""",
     "cluster_layout": "SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate FROM orders",
     "layout_files": """
-        SELECT 'o_custkey' AS "column", count(DISTINCT o_custkey // (SELECT max(o_custkey) // 20 + 1 FROM orders)) AS ranges, TRUE AS halved FROM orders
+        SELECT 'o_custkey' AS "column", max(o_custkey) // (max(o_custkey) // 20 + 1) + 1 AS ranges, TRUE AS halved FROM orders
         UNION ALL SELECT 'o_orderpriority', count(DISTINCT o_orderpriority), TRUE FROM orders""",
     "compact_table": """SELECT o_orderstatus, count(*) AS n, max(o_orderkey) AS newest, TRUE AS in_order, TRUE AS fewer_files
                         FROM orders GROUP BY o_orderstatus""",
