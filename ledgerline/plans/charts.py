@@ -127,18 +127,19 @@ QUESTIONS = (
 
 
 def build_silver(raw: DataFrame, base: str) -> DataFrame:
-    """Bronze and silver tables under ``base``; returns the good silver rows.
+    """Bronze and the checked rows under ``base``; returns the silver table.
 
-    Silver is written in one pass, with rows that lack a stream count in a folder of their own.
+    Rows are checked in one pass, which writes those with a stream count, the silver table, to
+    ``checked/quality=good`` and the others to ``checked/quality=quarantine``.
     """
     spark = raw.sparkSession
     write_parquet(raw, f"{base}/bronze")
-    write_with_quarantine(clean(spark.read.parquet(f"{base}/bronze")), F.col("streams").isNotNull(), f"{base}/silver")
-    return spark.read.parquet(f"{base}/silver").where("quality = 'good'").drop("quality")
+    write_with_quarantine(clean(spark.read.parquet(f"{base}/bronze")), F.col("streams").isNotNull(), f"{base}/checked")
+    return spark.read.parquet(f"{base}/checked").where("quality = 'good'").drop("quality")
 
 
 def build_layers(raw: DataFrame, base: str) -> dict[str, DataFrame]:
-    """Bronze, silver (good rows and quarantine) and the gold tables under ``base``."""
+    """Bronze, checked rows (silver and quarantine) and the gold tables under ``base``."""
     silver, spark = build_silver(raw, base), raw.sparkSession
     for question in QUESTIONS:
         write_parquet(question(silver), f"{base}/gold/{question.__name__}")

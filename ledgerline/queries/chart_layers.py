@@ -93,8 +93,8 @@ def chart_layers(spark: SparkSession, sf: str) -> DataFrame:
     """All layers written by one job: rows of bronze, of both parts of silver, and of some gold tables."""
     base = scratch_path(spark, "charts")
     gold = charts.build_layers(chart_files(spark, sf), base)
-    silver = spark.read.parquet(f"{base}/silver").groupBy("quality").agg(F.count(F.lit(1)).alias("n"))
-    counts = [silver.select(F.col("quality").alias("layer"), "n")]
+    checked = spark.read.parquet(f"{base}/checked").groupBy("quality").agg(F.count(F.lit(1)).alias("n"))
+    counts = [checked.select(F.col("quality").alias("layer"), "n")]
     for name, rows in {"bronze": spark.read.parquet(f"{base}/bronze"), **gold}.items():
         counts.append(rows.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("layer"), "n"))
     out = counts[0]

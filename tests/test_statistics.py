@@ -191,7 +191,7 @@ def chart_rows(spark):
 
 def test_chart_layers(spark, tmp_path):
     gold = charts.build_layers(chart_rows(spark), str(tmp_path))
-    quarantine = spark.read.parquet(f"{tmp_path}/silver").where("quality = 'quarantine'")
+    quarantine = spark.read.parquet(f"{tmp_path}/checked/quality=quarantine")
     assert [r.artist for r in quarantine.collect()] == ["Cat"]
     assert not {"url", "available_markets", "Unnamed0"} & set(quarantine.columns)
     favourites = {(r.region, r.year): (r.artist, r.popularity) for r in gold["favourite_artists"].collect()}
@@ -207,6 +207,6 @@ def test_chart_layers(spark, tmp_path):
     assert math.isclose(profile["DE"], 0.5, rel_tol=1e-6) and math.isclose(profile["FR"], 0.5, rel_tol=1e-6)
     assert gold["feature_correlation"].count() == 169
     assert gold["artist_popularity"].count() == 0
-    silver = spark.read.parquet(f"{tmp_path}/silver")
+    silver = spark.read.parquet(f"{tmp_path}/checked/quality=good")
     liked = charts.artist_popularity(silver, 0).collect()
     assert [r.artist for r in liked][0] == "Ann" and "Cat" not in [r.artist for r in liked]
