@@ -86,6 +86,37 @@ def test_page_text_without_article(spark):
     assert wrappers.extract_main_text(frame.limit(0)).count() == 0
 
 
+TEASED = """<body><article class="teaser"><p>Read our new book, which we sell all year to all of our dear readers.</article>
+<div id="x"><h2>Title {0}</h2><p>body {0} of the page<p>and more {0}</div><div>Made with care</div></body>"""
+
+
+def test_page_text_follows_slots(spark):
+    """The template decides, on hosts of few pages too: neither the article nor the lines around the slots are content."""
+    rows = [(i, f"http://few.example/{i}", TEASED.format(f"n{i}")) for i in range(3)]
+    rows += [(10 + i, "http://copies.example/", TEASED.format("same")) for i in range(12)]
+    got = {r.page_id: r.text for r in wrappers.extract_main_text(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert [got[i] for i in range(3)] == [f"Title n{i} body n{i} of the page and more n{i}" for i in range(3)]
+    # Copies of one page tell nothing about it: all is slot, and the tag of the longer part decides.
+    assert {got[10 + i] for i in range(12)} == {wrappers.main_text(wrappers.Tree(TEASED.format("same")), {}, set())}
+    assert got[10].startswith("Read our new book") and "Title" not in got[10]
+
+
+@pytest.mark.parametrize(
+    "given, want",
+    [
+        ('<article class="post has-sidebar"><p>body<p>text</article><div class="sidebar">s</div>', "body text"),
+        ('<article><p>long body of text</p><section id="story-share-economy"><p>part</section><p class="share">x</article>', "long body of text part"),
+        ('<div class="sidebar layout"><p>all of it</div><nav>n</nav>', "all of it"),
+        ('<main class="banner"><h1>h</h1><p>most of the text</main><div class="comments"><p>first</div>', "h most of the text"),
+        ('<article><p>short</article><section id="comments"><article class="comment">a long answer by a reader</article></section>', "short"),
+        ("<div class=ad>only this", "only this"),
+        ("<article></article><nav>menu</nav>", ""),
+    ],
+)
+def test_names_do_not_drop_the_content(given, want):
+    assert wrappers.main_text(wrappers.Tree(given), {}, set()) == want
+
+
 def test_best_fit_matrix_is_lossless(spark, tmp_path):
     docs = table(spark, SF, "documents")
     matrix = best_fit.packed_matrix(docs)
