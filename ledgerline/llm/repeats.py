@@ -8,7 +8,9 @@ Suffixes are ranked by growing prefixes, and a suffix leaves as soon as its rank
   pairs by rank and sorts them; ranks found in one document only leave.
 * Round 2 pairs the ranks of a string's two halves, at an offset of half its length, for every string around a
   remaining position, which reaches the threshold. Pairs are sorted by rank and id within
-  the partition of their first rank; every string whose first owner has a smaller id is covered.
+  the partition of their first rank; every string whose first owner has a smaller id is covered. Ranks are
+  hashes, so the bytes of a string are compared with those of its first owner before it counts as covered;
+  where two strings share a rank, the bytes themselves are ranked.
 
 Copies of a whole text are found by a digest before, and only the one with the smallest
 id is ranked: all bytes of the others are covered. The work of one rank is then bounded by the
@@ -148,6 +150,15 @@ def _contexts(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, _CONTEXT)
 
 
+def _later(key: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows whose key is also that of a row with a smaller owner, and the first row with that key for each."""
+    order = np.lexsort((owner, key))
+    new = np.r_[True, key[order][1:] != key[order][:-1]]
+    first = order[np.flatnonzero(new)][np.cumsum(new) - 1]
+    later = owner[order] > owner[first]
+    return order[later], first[later]
+
+
 def covered_offsets(ids: np.ndarray, left: np.ndarray, right: np.ndarray, around: np.ndarray) -> np.ndarray:
     """For each position and each offset o: is the string that starts o bytes before it covered?"""
     up, _ = _powers(around.shape[1] + 1)
@@ -161,10 +172,12 @@ def covered_offsets(ids: np.ndarray, left: np.ndarray, right: np.ndarray, around
         a = REACH - o
         pair = [_mixed((s[valid, x + half] - s[valid, x]) * up[x]) for x in (a, a + half)]
         key, owner = _mixed(pair[0] * np.uint64(_BASE) + pair[1]), ids[valid]
-        order = np.lexsort((owner, key))
-        new = np.r_[True, key[order][1:] != key[order][:-1]]
-        first = owner[order][np.flatnonzero(new)][np.cumsum(new) - 1]
-        out[valid[order], o] = owner[order] > first
+        later, first = _later(key, owner)
+        text = around[:, a : a + LENGTH]
+        if (text[valid[later]] != text[valid[first]]).any():
+            strings = np.ascontiguousarray(text[valid]).view(f"V{LENGTH}").ravel()
+            later, _ = _later(np.unique(strings, return_inverse=True)[1], owner)
+        out[valid[later], o] = True
     return out
 
 
