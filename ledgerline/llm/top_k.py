@@ -1,37 +1,46 @@
-"""Exact top-k search with BM25: inverted indexes per shard, block-max pruning, exact merge.
+"""Exact top-k search with BM25: inverted indexes per shard, block-max WAND, exact merge.
 
 Terms are runs of characters other than ASCII white space, control characters and punctuation, with A-Z
 lowered, kept as 64 bit hashes. Document frequencies, the number of rows and the mean length are counted
 over all rows, so every shard scores with the same statistics and shard results can be merged as they are.
 
-A task holds one shard. Its documents come first and become postings cut into blocks of documents,
-each with its largest impact; then all queries stream by. For a query the blocks' largest impacts add up to
-a bound per block. The blocks with the highest bounds are scored first and give a threshold;
-only blocks whose bound reaches it are scored at all. What is skipped cannot be in
-the result, so it is exact.
+The counted terms of all rows are stored once. A task reads its part of them and builds one shard after the other,
+of ``shard_postings`` each, so its memory does not follow the size of the part, and no document is shuffled. A
+shard's postings are cut into blocks of documents, each term with its largest impact per block. Queries come as
+broadcast chunks of ``chunk_bytes``; each chunk costs one more pass over the stored terms.
+
+A query's threshold is the score of the k-th best row that the task has met so far and only rises, from block to
+block and from shard to shard. Terms are put in order of the most they can add; those behind the pivot
+cannot reach the threshold together, so blocks without a term before the pivot are left out. The other blocks are scored
+in order of their bounds, in growing groups, until the next bound lies below the threshold. What is
+skipped cannot be in the result, so it is exact.
 
 Defined cases: NULL or empty texts have no terms and are never found, nor do they find anything; equal
-scores (to six digits) are ordered by id; rows without id are searched and come first among equals, but do not query; an empty
-table gives an empty result. Only id and text are read.
+scores (to six digits) are ordered by id; rows without id are searched and come first among equals, but do not query;
+repeated rows are found one by one, and rows that share an id query together, with the terms of all; very long
+texts are read whole, and a shard has at least one of them; an empty table gives an empty result. Only id and text are read.
 """
 
 from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ledgerline.llm.common import stored, text_bytes, width
+from ledgerline.llm.common import stored, width
 
 K1, B = 1.2, 0.75
 BLOCK_DOCS = 32
+FIRST_BLOCKS = 4
+NO_ID = -(2**63)
 _SPLIT = bytes.maketrans(
     bytes(range(33)) + b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~\x7f" + b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b" " * (33 + 33) + b"abcdefghijklmnopqrstuvwxyz"
 )
@@ -67,58 +76,75 @@ def indexed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 class Shard:
-    """Postings of some documents in blocks, with the largest impact of each block."""
+    """Postings of some documents in blocks, with the largest impact of each term in each block."""
 
-    def __init__(self, ids: np.ndarray, lengths: np.ndarray, term_lists: list, count_lists: list, mean: float):
+    def __init__(self, ids: np.ndarray, lengths: np.ndarray, sizes: np.ndarray, term: np.ndarray, tf: np.ndarray, mean: float):
         order = np.argsort(lengths, kind="stable")  # documents of like length have like impacts
-        self.ids = ids[order]
-        self.blocks = -(-len(ids) // BLOCK_DOCS)
-        sizes = np.array([len(term_lists[i]) for i in order], np.int64)
-        term = np.concatenate([term_lists[i] for i in order]) if len(order) else np.zeros(0, np.int64)
-        tf = np.concatenate([count_lists[i] for i in order]).astype(np.float64) if len(order) else np.zeros(0)
-        doc = np.repeat(np.arange(len(ids)), sizes)
-        impact = tf * (K1 + 1) / (tf + K1 * (1 - B + B * np.repeat(lengths[order], sizes) / mean))
-        by = np.argsort(term, kind="stable")
-        self.term, self.doc, self.impact = term[by], doc[by], impact[by]
+        place = np.empty(len(ids), np.int32)
+        place[order] = np.arange(len(ids), dtype=np.int32)
+        self.ids, self.blocks = ids[order], -(-len(ids) // BLOCK_DOCS)
+        doc = np.repeat(place, sizes)
+        by = np.lexsort((doc, term))
+        self.doc, term = doc[by], term[by]
+        tf = tf[by].astype(np.float64)
+        self.impact = tf * (K1 + 1) / (tf + (K1 * (1 - B + B * lengths[order] / mean))[self.doc])
         block = self.doc // BLOCK_DOCS
-        new = np.r_[True, (self.term[1:] != self.term[:-1]) | (block[1:] != block[:-1])] if len(by) else np.zeros(0, bool)
+        new = np.ones(len(term), bool)
+        new[1:] = (term[1:] != term[:-1]) | (block[1:] != block[:-1])
         self.start = np.flatnonzero(new)
-        self.end = np.r_[self.start[1:], len(by)].astype(np.int64)
-        self.seg_term, self.seg_block = self.term[self.start], block[self.start]
-        self.seg_max = np.maximum.reduceat(self.impact, self.start) if len(by) else np.zeros(0)
-        first = np.r_[True, self.seg_term[1:] != self.seg_term[:-1]] if len(by) else np.zeros(0, bool)
-        self.terms = self.seg_term[first]
+        self.end = np.append(self.start[1:], len(term))
+        self.seg_block, self.seg_max = block[self.start], np.maximum.reduceat(self.impact, self.start)
+        seg_term = term[self.start]
+        first = np.ones(len(seg_term), bool)
+        first[1:] = seg_term[1:] != seg_term[:-1]
         self.term_from = np.flatnonzero(first)
-        self.term_to = np.r_[self.term_from[1:], len(self.seg_term)].astype(np.int64)
+        self.term_to = np.append(self.term_from[1:], len(seg_term))
+        self.terms, self.term_max = seg_term[first], np.maximum.reduceat(self.seg_max, self.term_from)
 
-    def top(self, query: np.ndarray, weight: np.ndarray, k: int) -> tuple[list, list]:
-        at = np.searchsorted(self.terms, query)
-        known = (at < len(self.terms)) & (self.terms[np.minimum(at, len(self.terms) - 1)] == query) if len(self.terms) else np.zeros(len(query), bool)
+    def improve(self, best: tuple[np.ndarray, np.ndarray], query: np.ndarray, weight: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """The best ``k`` ids and scores among ``best`` and this shard's documents."""
+        at = np.minimum(np.searchsorted(self.terms, query), len(self.terms) - 1)
+        known = self.terms[at] == query
         at, weight = at[known], weight[known]
         if not len(at):
-            return [], []
+            return best
+        most = self.term_max[at] * weight
+        order = np.argsort(-most)
+        at, weight = at[order], weight[order]
+        rest = np.cumsum(most[order][::-1])[::-1]
+        least = _least(best, k)
+        pivot = np.count_nonzero(rest >= least)
         seg, w = _ranges(self.term_from[at], self.term_to[at], weight)
         block = self.seg_block[seg]
         bound = np.bincount(block, self.seg_max[seg] * w, self.blocks)
-        best = np.argpartition(bound, -min(2, self.blocks))[-min(2, self.blocks) :]
-        chosen = np.zeros(self.blocks, bool)
-        chosen[best] = True
-        score = self._score(seg[chosen[block]], w[chosen[block]])
-        least = np.sort(score)[-k] if len(score) >= k else 0.0
-        more = (bound >= least - 1e-6) & ~chosen & (bound > 0)
-        if more.any():
-            score += self._score(seg[more[block]], w[more[block]])
-        score = np.round(score, 6)
-        hit = np.flatnonzero(score > 0)
-        if len(hit) > k:
-            least = np.partition(score[hit], len(hit) - k)[-k]
-            hit = hit[score[hit] >= least]
-        order = np.lexsort((self.ids[hit], -score[hit]))[:k]
-        return self.ids[hit[order]].tolist(), score[hit[order]].tolist()
-
-    def _score(self, seg: np.ndarray, w: np.ndarray) -> np.ndarray:
+        if pivot < len(at):
+            leads = np.zeros(self.blocks, bool)
+            leads[block[: int((self.term_to[at[:pivot]] - self.term_from[at[:pivot]]).sum())]] = True
+            bound[~leads] = 0
+        open_ = np.flatnonzero((bound >= least) & (bound > 0))
+        open_ = open_[np.argsort(-bound[open_])]
+        done, group = 0, FIRST_BLOCKS
+        while done < len(open_) and bound[open_[done]] >= least:
+            chosen = np.zeros(self.blocks, bool)
+            chosen[open_[done : done + group]] = True
+            mine = chosen[block]
+            best = self._scored(best, seg[mine], w[mine], least, k)
+            least = _least(best, k)
+            done, group = done + group, group * 4
+        return best
+
+    def _scored(self, best: tuple[np.ndarray, np.ndarray], seg: np.ndarray, w: np.ndarray, least: float, k: int) -> tuple[np.ndarray, np.ndarray]:
         post, weight = _ranges(self.start[seg], self.end[seg], w)
-        return np.bincount(self.doc[post], self.impact[post] * weight, len(self.ids))
+        score = np.bincount(self.doc[post], self.impact[post] * weight, len(self.ids))
+        hit = np.flatnonzero((score >= least) & (score > 0))
+        ids, score = np.append(best[0], self.ids[hit]), np.append(best[1], np.round(score[hit], 6))
+        order = np.lexsort((ids, -score))[:k]
+        return ids[order], score[order]
+
+
+def _least(best: tuple[np.ndarray, np.ndarray], k: int) -> float:
+    """What a sum must reach to matter: the k-th best score less what rounding can hide."""
+    return float(best[1][-1]) - 1e-6 if len(best[1]) == k else 0.0
 
 
 def _ranges(start: np.ndarray, end: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -128,11 +154,47 @@ def _ranges(start: np.ndarray, end: np.ndarray, weight: np.ndarray) -> tuple[np.
     return np.arange(len(shift)) + shift, np.repeat(weight, n)
 
 
+def _shards(batches: Iterator[pa.RecordBatch], postings: int, mean: float) -> Iterator[Shard]:
+    held: list[list[np.ndarray]] = []
+    n = 0
+    for whole in batches:
+        for from_ in range(0, whole.num_rows, 256):
+            b = whole.slice(from_, 256)
+            term, count = b.column(2), b.column(3)
+            held.append([b.column(0).fill_null(NO_ID).to_numpy(), b.column(1).to_numpy(), term.value_lengths().to_numpy(), term.flatten().to_numpy(), count.flatten().to_numpy()])
+            n += len(held[-1][3])
+            if n >= postings:
+                yield Shard(*(np.concatenate(x) for x in zip(*held)), mean)
+                held, n = [], 0
+    if n:
+        yield Shard(*(np.concatenate(x) for x in zip(*held)), mean)
+
+
+def _found(index: DataFrame, shared: Broadcast, k: int, postings: int, mean: float) -> DataFrame:
+    """Per task: the best ``k`` rows for each query of the chunk."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, start, term, weight = shared.value
+        best = [(np.zeros(0, np.int64), np.zeros(0))] * len(ids)
+        for shard in _shards(batches, postings, mean):
+            for q, (a, b) in enumerate(zip(start, start[1:])):
+                best[q] = shard.improve(best[q], term[a:b], weight[a:b], k)
+        for from_ in range(0, len(ids), 10_000):
+            part = best[from_ : from_ + 10_000]
+            docs = np.concatenate([x[0] for x in part])
+            query = np.repeat(ids[from_ : from_ + 10_000], [len(x[0]) for x in part])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(query), pa.array(docs, mask=docs == NO_ID), pa.array(np.concatenate([x[1] for x in part]))], names=["query_id", "doc_id", "score"]
+            )
+
+    return index.mapInArrow(run, "query_id long, doc_id long, score double")
+
+
 def search(
-    docs: DataFrame, is_query: Column, k: int = 10, id_col: str = "doc_id", text_col: str = "text", shard_bytes: int = 32_000_000
+    docs: DataFrame, is_query: Column, k: int = 10, id_col: str = "doc_id", text_col: str = "text", shard_postings: int = 2_000_000, chunk_bytes: int = 32_000_000
 ) -> DataFrame:
     """``query_id``, ``rank`` from 1, ``doc_id`` and ``score`` of the best ``k`` rows for every row that ``is_query`` picks."""
-    shards = width(text_bytes(docs, text_col), shard_bytes)
+    spark = docs.sparkSession
     index = stored(indexed(docs, id_col, text_col), "search-index")
     stats = index.agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("sum")).first()
     rows, mean = int(stats["n"]), max(1.0, float(stats["sum"] or 0) / max(1, int(stats["n"])))
@@ -141,36 +203,19 @@ def search(
     asked = wanted.select("id", F.explode(F.arrays_zip("terms", "counts")).alias("t")).select("id", F.col("t.terms").alias("term"), F.col("t.counts").alias("qtf"))
     idf = F.log(1 + (rows - F.col("df") + 0.5) / (F.col("df") + 0.5))
     queries = asked.join(frequency, "term").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("term", (idf * F.col("qtf")).alias("w")))).alias("q"))
-    none, nothing = F.lit(None).cast("array<int>"), F.lit(None).cast("array<double>")
-    mine = index.select(F.pmod(F.xxhash64("id", "terms"), F.lit(shards)).alias("shard"), F.lit(0).alias("kind"), "id", "length", "terms", "counts", nothing.alias("w"))
-    theirs = queries.select(
-        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard"), F.lit(1).alias("kind"), "id", F.lit(None).cast("long").alias("length"),
-        F.col("q.term").alias("terms"), none.alias("counts"), F.col("q.w").alias("w"),
-    )
-    dealt = mine.unionByName(theirs).repartition(shards, "shard").sortWithinPartitions("shard", "kind")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, number = None, None
-        held: list[tuple] = []
-        for b in batches:
-            area, kind, ids, lengths = (b.column(i).to_pylist() for i in range(4))
-            term, count, weight = b.column(4), b.column(5), b.column(6)
-            out: list[tuple] = []
-            for i in range(b.num_rows):
-                if area[i] != number:
-                    number, held, shard = area[i], [], None
-                if kind[i] == 0:
-                    held.append((-(2**63) if ids[i] is None else ids[i], lengths[i], term[i].values.to_numpy(), count[i].values.to_numpy()))
-                    continue
-                if shard is None:
-                    shard = Shard(np.array([h[0] for h in held], np.int64), np.array([h[1] for h in held], np.float64), [h[2] for h in held], [h[3] for h in held], mean)
-                    held = []
-                found, score = shard.top(term[i].values.to_numpy(), weight[i].values.to_numpy(), k)
-                if found:
-                    out.append((ids[i], [{"doc_id": d if d != -(2**63) else None, "score": s} for d, s in zip(found, score)]))
-            schema = pa.schema([("query_id", pa.int64()), ("hits", pa.list_(pa.struct([("doc_id", pa.int64()), ("score", pa.float64())])))])
-            yield pa.RecordBatch.from_pydict({"query_id": [o[0] for o in out], "hits": [o[1] for o in out]}, schema=schema)
-
-    each = dealt.mapInArrow(run, "query_id long, hits array<struct<doc_id:long,score:double>>").select("query_id", F.inline("hits"))
+    queries = stored(queries.select("id", F.col("q.term").alias("term"), F.col("q.w").alias("w")), "search-queries")
+    total = queries.agg(F.sum(F.size("term") * 16 + 16).alias("n")).first()["n"] or 0
+    chunks, parts = width(total, chunk_bytes), []
+    for c in range(chunks):
+        # Collected: the queries of one chunk, about chunk_bytes of them.
+        got = queries.where(F.pmod(F.xxhash64("id"), F.lit(chunks)) == c).toArrow().combine_chunks()
+        if got.num_rows:
+            ids, term, w = (got.column(i).chunk(0) for i in range(3))
+            start = np.append(0, np.cumsum(term.value_lengths().to_numpy()))
+            shared = spark.sparkContext.broadcast((ids.to_numpy(), start, term.flatten().to_numpy(), w.flatten().to_numpy()))
+            parts.append(_found(index, shared, k, shard_postings, mean))
+    if not parts:
+        return spark.createDataFrame([], "query_id long, rank long, doc_id long, score double")
+    each = reduce(DataFrame.unionByName, parts)
     best = W.partitionBy("query_id").orderBy(F.desc("score"), F.asc_nulls_first("doc_id"))
     return each.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("long").alias("rank"), "doc_id", "score")

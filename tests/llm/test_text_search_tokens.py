@@ -191,16 +191,44 @@ def test_licences_odd_rows(spark, odd):  # noqa: F811
 
 
 def test_search_odd_rows_and_shards(spark, odd):  # noqa: F811
-    got = top_k.search(clashing(odd, "terms", "w"), F.col("doc_id") > 0, k=3, shard_bytes=20_000).collect()
+    got = top_k.search(clashing(odd, "terms", "w"), F.col("doc_id") > 0, k=3, shard_postings=50, chunk_bytes=200).collect()
     by = {(r.query_id, r["rank"]): r.doc_id for r in got if r.query_id == 1}
     assert by == {(1, 1): None, (1, 2): 1, (1, 3): 2}
     assert not {r.query_id for r in got} & {3, 4, 5}
     assert top_k.search(odd.limit(0), F.col("doc_id") > 0).count() == 0
     docs = table(spark, SF, "documents")
-    one, many = (top_k.search(docs, F.col("doc_id") % 50 == 0, shard_bytes=n) for n in (10**9, 100_000))
+    one, many = (top_k.search(docs, F.col("doc_id") % 50 == 0, shard_postings=n, chunk_bytes=m) for n, m in ((10**9, 10**9), (2_000, 3_000)))
     assert spark_rows(one) == spark_rows(many)
 
 
+def test_search_skips_nothing_that_counts():
+    """Shards met one after the other, with ties and repeated documents, give what scoring all of them gives."""
+    rng = np.random.default_rng(11)
+    texts = [np.unique(np.minimum(rng.zipf(1.3, rng.integers(1, 60)), 400)) for _ in range(900)]
+    texts[500:520] = [texts[3]] * 20
+    tfs = [rng.integers(1, 4, len(t)) for t in texts]
+    tfs[500:520] = [tfs[3]] * 20
+    ids, lengths = rng.permutation(900), np.array([int(n.sum()) for n in tfs])
+    mean = float(lengths.mean())
+    shards = []
+    for from_ in range(0, 900, 300):
+        part = slice(from_, from_ + 300)
+        shards.append(top_k.Shard(ids[part], lengths[part], np.array([len(t) for t in texts[part]]), np.concatenate(texts[part]), np.concatenate(tfs[part]), mean))
+    for q in range(0, 900, 30):
+        weight = rng.random(len(texts[q])) * 5 + 0.1
+        of = dict(zip(texts[q].tolist(), weight))
+        want = []
+        for i, t, n, length in zip(ids.tolist(), texts, tfs, lengths):
+            hits = [of[x] * c * 2.2 / (c + 1.2 * (0.25 + 0.75 * length / mean)) for x, c in zip(t.tolist(), n.tolist()) if x in of]
+            if hits:
+                want.append((-round(sum(hits), 6), i))
+        best = (np.zeros(0, np.int64), np.zeros(0))
+        for shard in shards:
+            best = shard.improve(best, texts[q], weight, 7)
+        want = sorted(want)[:7]
+        assert best[0].tolist() == [i for _, i in want] and np.allclose(best[1], [-s for s, _ in want], atol=2e-6)
+
+
 def test_crc_of_positions(spark):
     row = best_fit.matrix_digests(best_fit.packed_matrix(spark.createDataFrame([(1, "")], "doc_id bigint, text string"))).first()
     assert row.positions_crc32 == zlib.crc32(np.r_[0, np.arange(1023)].astype("<u4").tobytes()) and row.n_tokens == 1
