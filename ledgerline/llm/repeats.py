@@ -9,7 +9,7 @@ Suffixes are ranked by growing prefixes, and a suffix leaves as soon as its rank
 * Round 2 pairs the ranks of a string's two halves, at an offset of half its length, for every string around a
   remaining position, which reaches the threshold. Pairs are sorted by rank and id within
   the partition of their first rank; every string whose first owner has a smaller id is covered. Ranks are
-  hashes, so the bytes of a string are compared with those of its first owner before it counts as covered;
+  hashes, so all strings of one rank are compared byte by byte before any counts as covered;
   where two strings share a rank, the bytes themselves are ranked.
 
 Copies of a whole text are found by a digest before, and only the one with the smallest
@@ -150,19 +150,19 @@ def _contexts(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, _CONTEXT)
 
 
-def _later(key: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Rows whose key is also that of a row with a smaller owner, and the first row with that key for each."""
-    order = np.lexsort((owner, key))
-    new = np.r_[True, key[order][1:] != key[order][:-1]]
-    first = order[np.flatnonzero(new)][np.cumsum(new) - 1]
-    later = owner[order] > owner[first]
-    return order[later], first[later]
+def _alike(key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows with equal keys side by side, where each such group starts, and the number of each row's group."""
+    order = np.argsort(key)
+    new = np.ones(len(key), bool)
+    new[1:] = key[order[1:]] != key[order[:-1]]
+    return order, np.flatnonzero(new), np.cumsum(new) - 1
 
 
 def covered_offsets(ids: np.ndarray, left: np.ndarray, right: np.ndarray, around: np.ndarray) -> np.ndarray:
     """For each position and each offset o: is the string that starts o bytes before it covered?"""
     up, _ = _powers(around.shape[1] + 1)
-    s = _sums(around)
+    s = np.ascontiguousarray(_sums(around).T)
+    words = np.ascontiguousarray(around).view(np.uint64)
     half = LENGTH // 2
     out = np.zeros((len(ids), REACH + 1), bool)
     for o in range(REACH + 1):
@@ -170,14 +170,18 @@ def covered_offsets(ids: np.ndarray, left: np.ndarray, right: np.ndarray, around
         if not len(valid):
             continue
         a = REACH - o
-        pair = [_mixed((s[valid, x + half] - s[valid, x]) * up[x]) for x in (a, a + half)]
-        key, owner = _mixed(pair[0] * np.uint64(_BASE) + pair[1]), ids[valid]
-        later, first = _later(key, owner)
-        text = around[:, a : a + LENGTH]
-        if (text[valid[later]] != text[valid[first]]).any():
-            strings = np.ascontiguousarray(text[valid]).view(f"V{LENGTH}").ravel()
-            later, _ = _later(np.unique(strings, return_inverse=True)[1], owner)
-        out[valid[later], o] = True
+        pair = [_mixed((s[x + half] - s[x])[valid] * up[x]) for x in (a, a + half)]
+        order, start, group = _alike(_mixed(pair[0] * np.uint64(_BASE) + pair[1]))
+        inside = np.zeros(around.shape[1], np.uint8)
+        inside[a : a + LENGTH] = 255
+        rows = valid[order]
+        other = np.delete(np.arange(len(rows)), start)
+        if ((words[rows[other]] ^ words[rows[start[group[other]]]]) & inside.view(np.uint64)).any():
+            strings = np.ascontiguousarray(around[valid, a : a + LENGTH]).view(f"V{LENGTH}").ravel()
+            order, start, group = _alike(np.unique(strings, return_inverse=True)[1])
+            rows = valid[order]
+        owner = ids[rows]
+        out[rows[owner > np.minimum.reduceat(owner, start)[group]], o] = True
     return out
 
 
