@@ -1,5 +1,7 @@
 """Exact and near duplicates, mixing, quality votes and curve packing against plain versions."""
 
+import math
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -132,6 +134,28 @@ def test_mix_holds_weights_until_a_source_ends(spark, docs):
         assert sorted(r.block for r in got if r.source == s) == [i // 2 for i in range(50)]
 
 
+def test_mix_of_all_rows_against_plain(spark, docs):
+    """Every row's block, slot, position and part in the mix, from plain numbering and a plain schedule."""
+    hashed = docs.select("doc_id", "source", F.xxhash64("doc_id", "text", F.lit(17)).alias("h")).collect()
+    by = {}
+    for r in hashed:
+        by.setdefault("null" if r.source is None else f"={r.source}", []).append((r.h % 256, r.h, r.doc_id))
+    shares = mixing.period_shares({s: len(x) ** 0.7 for s, x in by.items()}, 1024)
+    turns = {s: [i for i, owner in enumerate(brute.earliest_deadline(shares, 1024)) if owner == s] for s in shares}
+
+    def slot_of(s, block):
+        return block // shares[s] * 1024 + turns[s][block % shares[s]]
+
+    end = min(slot_of(s, -(-len(x) // 8)) for s, x in by.items())
+    want = {}
+    for s, x in by.items():
+        for r, (_, _, i) in enumerate(sorted(x)):
+            slot = slot_of(s, r // 8)
+            want[i] = (r // 8, slot, slot * 8 + r % 8, slot < end)
+    got = {r.doc_id: (r.block, r.slot, r.position, r.in_mix) for r in mixing.mix_sources(docs).collect()}
+    assert got == want and any(w[3] for w in want.values())
+
+
 def test_mix_odd_rows(odd):
     got = mixing.mix_sources(clashing(odd, "Slot"), block=1).collect()
     assert len(got) == len(ODD)
@@ -150,6 +174,34 @@ def test_quality_held_out_accuracy(spark):
     assert got.where("score < 0 OR score > 1 OR predicted != IF(score >= 0.3, 1, 0)").isEmpty()
 
 
+def test_quality_votes_against_plain(spark, docs):
+    """Every score from cosines taken one by one with the vectors of labelled rows that are not held out."""
+    rows = docs.select("doc_id", "text").collect()
+    text = {r.doc_id: r.text for r in rows}
+    labels = {r.doc_id: r.quality for r in table(spark, SF, "labels").collect()}
+    learned = [i for i in sorted(labels, key=str) if labels[i] is not None and i in text and zlib.crc32(str(i).encode()) % 5]
+    model = quality.fit(docs, table(spark, SF, "labels"))
+    assert model.labels.tolist() == [labels[i] for i in learned]
+    spread = [math.log((1 + len(learned)) / (1 + n)) + 1 for n in sum((quality.counts_of(text[i]) > 0).astype(int) for i in learned)]
+
+    def vector(t):
+        x = (quality.counts_of(t) * np.array(spread)) @ model.project.astype(np.float64)
+        return x / (math.sqrt(sum(v * v for v in x)) or 1.0)
+
+    known = [(vector(text[i]), labels[i]) for i in learned]
+    got = {r.doc_id: r for r in queries.op3_quality_votes(spark, SF).collect()}
+    assert len(got) == len(rows)
+    for i, t in text.items():
+        mine = vector(t)
+        near = sorted(((float(mine @ v), y) for v, y in known), key=lambda p: -p[0])
+        # Equal similarities to the last one vote as well.
+        near = [(max(c, 0.0) ** 8, y) for c, y in near if c >= near[24][0] - 1e-9]
+        total = sum(w for w, _ in near)
+        want = sum(w * y for w, y in near) / total if total and (t or "").split() else sum(y for _, y in known) / len(known)
+        assert abs(got[i].score - want) < 1e-3, i
+        assert got[i].held_out == (zlib.crc32(str(i).encode()) % 5 == 0) and got[i].predicted == int(got[i].score >= 0.3)
+
+
 def test_quality_odd_rows(spark, odd):
     labels = spark.createDataFrame([(1, 1), (1, 0), (6, 0), (99, 1), (None, 1), (4, None)], "doc_id bigint, quality int")
     model = quality.fit(odd, labels)
