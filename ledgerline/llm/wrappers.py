@@ -19,17 +19,17 @@ pages is split by adaptive execution, as every page only meets its host's one re
 Defined cases: NULL or empty html gives the empty text; a NULL url counts as a host of its
 own; ties for the reference page are broken by its html; copies of the reference page have no vote, so a host of
 copies has slots only; repeated rows are extracted each. Elements may nest to any depth; lists of
-children too long for the table of the matching are paired in turn, and very long pages are read whole. Broken markup is read as
+children of any length are matched alike, by rows of one table of which a bounded part is kept, and very long pages are read whole. Broken markup is read as
 browsers do in simple cases: an open paragraph ends at the next block, end tags without a start are ignored.
 """
 
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,8 +41,8 @@ from ledgerline.llm.common import stored, without
 CONSTANT, SURE = 0.9, 2 / 3
 #: Constancy above which a text is no slot when the content root is chosen: one vote is enough.
 HINT = 0.1
-#: Cells of the matching table above which two lists of children are paired in turn.
-LONG_TABLE = 250_000
+#: Cells of the matching table that are kept at a time.
+TABLE = 250_000
 # Element names of HTML.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = set("a abbr b bdi bdo cite code data dfn em font i kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
@@ -139,44 +139,65 @@ def matched(a: Node, b: Node) -> list[tuple[Node, Node]]:
         left = [c for c in x.children if isinstance(c, Node) and c.tag not in INLINE]
         right = [c for c in y.children if isinstance(c, Node) and c.tag not in INLINE]
         # Equal starts and ends are paired at once; the table is only needed between them.
-        while left and right and _alike(left[0], right[0]):
-            todo.append((left.pop(0), right.pop(0)))
-        while left and right and _alike(left[-1], right[-1]):
-            todo.append((left.pop(), right.pop()))
-        if not left or not right:
-            continue
-        if len(left) * len(right) > LONG_TABLE:
-            todo.extend(_in_turn(left, right))
+        start, end, shorter = 0, 0, min(len(left), len(right))
+        while start < shorter and _alike(left[start], right[start]):
+            start += 1
+        while end < shorter - start and _alike(left[-1 - end], right[-1 - end]):
+            end += 1
+        todo.extend(zip(left[:start], right[:start]))
+        todo.extend((left[-1 - k], right[-1 - k]) for k in range(end))
+        left, right = left[start : len(left) - end], right[start : len(right) - end]
+        if left and right:
+            todo.extend((left[i], right[j]) for i, j in _aligned(left, right))
+    return pairs
+
+
+def _aligned(left: list[Node], right: list[Node]) -> list[tuple[int, int]]:
+    """Places in two lists whose pairs keep the order, are alike, and have the largest sum of smaller sizes.
+
+    A row of the table holds for each place of ``right`` the best sum from there on, and follows from the row
+    below it. Rows are kept for ``TABLE`` cells only: above a longer part the middle row is found first, and each half
+    is filled once more when the path gets there, so the path is that of the whole table at any length.
+    """
+    kinds: dict[tuple, int] = {}
+    kind = [np.array([kinds.setdefault((n.tag, n.attrs.get("class")), len(kinds)) for n in side]) for side in (left, right)]
+    size = [np.array([n.size for n in side], np.int64) for side in (left, right)]
+    shared = np.isin(kind[0], kind[1])
+
+    def above(row: np.ndarray, i: int, j: int) -> np.ndarray:
+        """The row of place ``i`` of ``left`` over places of ``right`` from ``j``, by the row below."""
+        if not shared[i]:
+            return row
+        best = row.copy()
+        both = row[1:] + np.minimum(size[0][i], size[1][j:])
+        np.maximum(best[:-1], both, out=best[:-1], where=kind[1][j:] == kind[0][i])
+        return np.maximum.accumulate(best[::-1])[::-1]
+
+    out: list[tuple[int, int]] = []
+    parts = [(0, len(left), np.zeros(len(right) + 1, np.int64))]
+    j = 0
+    while parts and j < len(right):
+        first, last, row = parts.pop()
+        row = row[len(row) - 1 - (len(right) - j) :]
+        if last - first > 1 and (last - first) * len(row) > TABLE:
+            middle, half = (first + last) // 2, row
+            for i in range(last - 1, middle - 1, -1):
+                half = above(half, i, j)
+            parts += [(middle, last, row), (first, middle, half)]
             continue
-        best = [[0] * (len(right) + 1) for _ in range(len(left) + 1)]
-        for i in range(len(left) - 1, -1, -1):
-            for j in range(len(right) - 1, -1, -1):
-                both = best[i + 1][j + 1] + min(left[i].size, right[j].size) if _alike(left[i], right[j]) else 0
-                best[i][j] = max(both, best[i + 1][j], best[i][j + 1])
-        i = j = 0
-        while i < len(left) and j < len(right):
-            if best[i][j] == best[i + 1][j]:
+        rows, from_ = [row], j
+        for i in range(last - 1, first - 1, -1):
+            rows.append(above(rows[-1], i, from_))
+        i = first
+        while i < last and j < len(right):
+            here, below, at = rows[last - i], rows[last - i - 1], j - from_
+            if here[at] == below[at]:
                 i += 1
-            elif best[i][j] == best[i][j + 1]:
+            elif here[at] == here[at + 1]:
                 j += 1
             else:
-                todo.append((left[i], right[j]))
+                out.append((i, j))
                 i, j = i + 1, j + 1
-    return pairs
-
-
-def _in_turn(left: list[Node], right: list[Node]) -> list[tuple[Node, Node]]:
-    """Pairs of very long lists in time that grows with their length: each node with the next one alike."""
-    places: dict[tuple, list[int]] = {}
-    for j, n in enumerate(right):
-        places.setdefault((n.tag, n.attrs.get("class")), []).append(j)
-    out, at = [], 0
-    for n in left:
-        alike = places.get((n.tag, n.attrs.get("class")), [])
-        k = bisect_left(alike, at)
-        if k < len(alike):
-            out.append((n, right[alike[k]]))
-            at = alike[k] + 1
     return out
 
 

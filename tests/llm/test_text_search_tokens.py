@@ -242,3 +242,23 @@ def test_deep_and_long_pages(spark):
     got = {r.page_id: r.text for r in wrappers.extract_main_text(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
     assert got[2] == "deep"
     assert got[3] == " ".join(f"line {i}" for i in range(20_000)) and got[1] == " ".join(f"line {i}" for i in range(15_000))
+
+
+@pytest.mark.parametrize("n", [60, 600, 2_000])
+def test_matching_is_one_at_any_length(n):
+    """A child that moved from the start to the end costs one pair, however long the lists are."""
+    lines = "".join(f"<p>line {i}</p>" for i in range(n))
+    one, two = (wrappers.Tree(f"<body>{x}</body>") for x in (f"<h2>t</h2>{lines}", f"{lines}<h2>t</h2>"))
+    pairs = wrappers.matched(one.root, two.root)
+    assert sum(x.tag == "p" for x, _ in pairs) == n and not any(x.tag == "h2" for x, _ in pairs)
+
+
+def test_matching_does_not_follow_the_kept_part(monkeypatch):
+    pages = ["<body>" + "".join(f"<p class=c{i * i // k % 3}>{i}</p>" + "<div><p>x</div>" * (i % k == 1) for i in range(40)) + "</body>" for k in (3, 4, 5, 7)]
+
+    def pairs():
+        return [sorted((x.index, y.index) for x, y in wrappers.matched(wrappers.Tree(a).root, wrappers.Tree(b).root)) for a in pages for b in pages]
+
+    whole = pairs()
+    monkeypatch.setattr(wrappers, "TABLE", 20)
+    assert pairs() == whole
