@@ -7,7 +7,7 @@ coefficient of ``least`` is only possible between sets whose sizes differ by at
 its bigrams are made, and is only compared with templates of fitting size. All of it is one pass
 of built-in expressions over the texts, without a shuffle.
 
-Defined cases: NULL or empty text has no match; a unit with one word has no bigram and no match; repeated
+Defined cases: NULL or empty text has no match; paragraphs are parted by two line feeds, and a text without such has lines only; a unit with one word has no bigram and no match; repeated
 rows are reported each; all templates that reach the coefficient are reported. Only id and text are read.
 """
 
@@ -61,7 +61,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def template_bigrams(text: str) -> list[str]:
-    words = re.findall(r"[a-z0-9]+", text.lower())
+    words = re.findall(r"[a-z0-9]+", text.translate(str.maketrans(UPPER, LOWER)))
     return sorted({f"{a} {b}" for a, b in zip(words, words[1:])})
 
 
@@ -74,7 +74,8 @@ def find_licences(
 ) -> DataFrame:
     """One row per match: id, ``kind`` of unit, its number ``unit`` from 0, ``licence`` and ``dice``."""
     grams = {name: template_bigrams(text) for name, text in templates.items()}
-    ratio = (2 - least) / least
+    # A little above the exact factor: a size that just reaches ``least`` must not fall to the rounding of a division.
+    ratio = (2 - least) / least * (1 + 1e-9)
     listed = F.from_json(
         F.lit(json.dumps([{"name": n, "grams": g, "n": len(g), "lo": len(g) / ratio, "hi": len(g) * ratio} for n, g in grams.items()])),
         "array<struct<name:string,grams:array<string>,n:int,lo:double,hi:double>>",

@@ -190,6 +190,23 @@ def test_licences_odd_rows(spark, odd):  # noqa: F811
     assert licences.find_licences(odd).count() == 0 and licences.find_licences(odd.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("least", [0.5, 0.6, 0.7, 0.75, 0.8, 0.9, 0.95])
+def test_licences_that_just_reach_the_coefficient(spark, least):
+    """Units with all bigrams of a template and more, and units with a part of them: every size whose coefficient is enough counts."""
+    name = [f"w{i}" for i in range(41)]
+    templates = {f"T{n}": " ".join(name[: n + 1]) for n in range(1, 41)}
+    units = [" ".join(name[: n + 1]) + "".join(f" x{i}" for i in range(more)) for n in range(1, 41) for more in (0, 1, 2, 5, 9)]
+    got = licences.find_licences(spark.createDataFrame([(1, "\n".join(units))], "doc_id bigint, text string"), templates, least)
+    want = {}
+    for unit, text in enumerate(units):
+        grams = set(licences.template_bigrams(text))
+        for licence, template in templates.items():
+            own = set(licences.template_bigrams(template))
+            if (dice := 2.0 * len(grams & own) / (len(grams) + len(own))) >= least:
+                want[unit, licence] = dice
+    assert {(r.unit, r.licence): r.dice for r in got.collect()} == want and len(want) > 200
+
+
 def test_search_odd_rows_and_shards(spark, odd):  # noqa: F811
     got = top_k.search(clashing(odd, "terms", "w"), F.col("doc_id") > 0, k=3, shard_postings=50, chunk_bytes=200).collect()
     by = {(r.query_id, r["rank"]): r.doc_id for r in got if r.query_id == 1}
