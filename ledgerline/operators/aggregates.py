@@ -81,16 +81,23 @@ def null_share(df: DataFrame, column: str) -> DataFrame:
 
 
 def correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Pearson correlation of every ordered pair of columns, in one aggregate.
+    """Pearson correlation of every ordered pair of columns, in two passes.
 
+    The first one finds the means; the second adds up products of the distances from them, one plain
+    sum for each pair, which Spark compiles where that many ``corr`` aggregates are interpreted.
     Rows with a NULL in any of the columns do not count.
     """
-    pairs = list(combinations_with_replacement(columns, 2))
-    row = df.select(*columns).dropna().agg(*[F.corr(a, b).alias(f"{a}~{b}") for a, b in pairs])
+    pairs = list(combinations_with_replacement(range(len(columns)), 2))
+    values = [F.col(f"_{i}") for i in range(len(columns))]
+    whole = df.select(*columns).dropna().select(*[F.col(c).cast("double").alias(f"_{i}") for i, c in enumerate(columns)])
+    # The mean of equal values is that value, without rounding.
+    means = [F.when(F.min(v) == F.max(v), F.min(v)).otherwise(F.avg(v)).alias(f"_mean{i}") for i, v in enumerate(values)]
+    far = [v - F.lit(mean).cast("double") for v, mean in zip(values, whole.agg(*means).first())]
+    row = whole.agg(F.count(F.lit(1)).alias("_n"), *[F.sum(far[i] * far[j]).alias(f"_{i}_{j}") for i, j in pairs])
     cells = []
-    for a, b in pairs:
-        value = F.col(f"`{a}~{b}`").alias("correlation")
-        cells += [F.struct(F.lit(x).alias("left_column"), F.lit(y).alias("right_column"), value) for x, y in {(a, b), (b, a)}]
+    for i, j in pairs:
+        value = F.when(F.col("_n") > 1, F.col(f"_{i}_{j}") / F.sqrt(F.col(f"_{i}_{i}") * F.col(f"_{j}_{j}"))).alias("correlation")
+        cells += [F.struct(F.lit(x).alias("left_column"), F.lit(y).alias("right_column"), value) for x, y in {(columns[i], columns[j]), (columns[j], columns[i])}]
     return row.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*")
 
 

@@ -8,6 +8,7 @@ from ledgerline.operators import windows as win
 from ledgerline.operators.skew import HotKeyPolicy
 from ledgerline.operators.ranking import emissions_ranking, top_rows
 from ledgerline.plans import charts
+from ledgerline.queries import chart_layers
 
 
 
@@ -210,3 +211,46 @@ def test_chart_layers(spark, tmp_path):
     silver = spark.read.parquet(f"{tmp_path}/checked/quality=good")
     liked = charts.artist_popularity(silver, 0).collect()
     assert [r.artist for r in liked][0] == "Ann" and "Cat" not in [r.artist for r in liked]
+
+
+def test_correlation_is_plain_sums(spark):
+    """Far from zero, with a constant, one row and no row; the second pass has a sum for each pair, which Spark compiles."""
+    rows = [(1e9 + i, float(i * i % 7), float(i % 5), 0.1) for i in range(50)] + [(None, 1.0, 2.0, 3.0), (1.0, float("nan"), 1.0, 1.0)]
+    frame = spark.createDataFrame(rows, "a double, b double, c double, d double")
+    got = agg.correlation_matrix(frame, ["a", "b", "c"])
+    assert "corr(" not in got._jdf.queryExecution().executedPlan().toString()
+    whole = frame.select("a", "b", "c").dropna()
+    want = {(x, y): whole.agg(F.corr(x, y)).first()[0] for x in "abc" for y in "abc"}
+    have = {(r.left_column, r.right_column): r.correlation for r in got.collect()}
+    assert have.keys() == want.keys() and all(math.isclose(have[k], want[k], abs_tol=1e-9) for k in want)
+    for few in (0, 1):
+        assert {r.correlation for r in agg.correlation_matrix(frame.limit(few), ["a", "b", "c"]).collect()} == {None}
+    ansi = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        constant = agg.correlation_matrix(frame.where("a > 1"), ["c", "d"]).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", ansi)
+    assert {(r.left_column, r.right_column): r.correlation for r in constant} == {("c", "c"): 1.0, ("c", "d"): None, ("d", "c"): None, ("d", "d"): None}
+
+
+def test_chart_files_are_small_and_lines_are_shuffled_once(spark, sf, monkeypatch):
+    monkeypatch.setattr(chart_layers, "FILE_ROWS", 500)
+    plans = []
+    write = chart_layers.write_csv
+    monkeypatch.setattr(chart_layers, "write_csv", lambda df, *a, **k: (plans.append(df), write(df, *a, **k)))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        files = chart_layers.chart_files(spark, sf)
+        plan = plans[0]._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    # A wide row of a line has its price: it passes one exchange only.
+    assert [line for line in plan.splitlines() if "Exchange hashpartitioning(o_custkey" in line] and not [
+        line for line in plan.splitlines() if "Exchange hashpartitioning(o_custkey" in line and "l_" in line
+    ]
+    assert plan.count("Exchange hashpartitioning") == 4
+    names = files.inputFiles()
+    assert all(n.endswith(".csv.snappy") for n in names)
+    assert max(r["count"] for r in files.groupBy(F.input_file_name()).count().collect()) <= 500
