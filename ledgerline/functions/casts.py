@@ -27,8 +27,14 @@ def to_bool(c: Column | str) -> Column:
 
 
 def to_day(c: Column | str) -> Column:
-    """``yyyy-MM-dd`` text to date."""
-    return F.try_to_date(_col(c), "yyyy-MM-dd")
+    """``yyyy-MM-dd`` text to date.
+
+    Plain dates are cast and text without digits is NULL at once: the pattern's parser, which
+    throws and catches an exception for every misfit, only sees the rest.
+    """
+    text = _col(c)
+    parsed = F.when(text.rlike(r"[0-9]"), F.try_to_date(text, "yyyy-MM-dd"))
+    return F.when(text.rlike(r"\A(?!0000)[0-9]{4}-[0-9]{2}-[0-9]{2}\z"), text.try_cast("date")).otherwise(parsed)
 
 
 def iso_timestamp(c: Column | str) -> Column:

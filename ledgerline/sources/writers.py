@@ -79,8 +79,10 @@ def write_json_lines(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).json(path)
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).option("header", True).option("escape", "\\").csv(path)
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", compression: str = "none", file_rows: int = 0) -> None:
+    """CSV with a header.  A compressed file is read by one task, so ``file_rows`` should bound its rows (0: no bound)."""
+    writer = df.write.mode(mode).option("header", True).option("escape", "\\").option("compression", compression)
+    writer.option("maxRecordsPerFile", file_rows).csv(path)
 
 
 def write_snapshot(df: DataFrame, base: str, day: date) -> str:

@@ -104,3 +104,11 @@ def test_binary_search_counts(spark):
     frame = spark.createDataFrame([(v,) for v in values], "v double")
     counted = count_at_or_below(F.array(*[F.lit(p) for p in points]), F.col("v"), len(points))
     assert [r[0] for r in frame.select(counted).collect()] == [0, 0, 2, 2, 3, 4, 5, 5]
+
+
+def test_days_are_those_of_the_pattern(spark):
+    texts = "2020-02-29 2021-02-29 0000-01-01 0001-01-01 9999-12-31 12020-01-01 +12020-01-01 -2020-01-01 2020-1-1 2020-01-01T00:00:00 unknown epoch".split()
+    texts += [" 2020-01-01", "2020-01-01 ", "2020-01-01\n", "", " ", "٢٠٢٠-٠١-٠١", "２０２０-01-01", "2020", "20200101", None]
+    frame = spark.createDataFrame([(t,) for t in texts], "t string")
+    plan = frame.select(casts.to_day("t").alias("d"), F.try_to_date("t", "yyyy-MM-dd").alias("want"), "t")
+    assert [(r.t, r.d) for r in plan.select("t", F.col("d").cast("string")).collect()] == [(r.t, r.want) for r in plan.select("t", F.col("want").cast("string")).collect()]
