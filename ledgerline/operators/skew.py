@@ -59,18 +59,23 @@ class HotKeyPolicy:
 DEFAULT_POLICY = HotKeyPolicy()
 
 
-def key_hash(keys: list[str]) -> Column:
+# A frame with the same keys that is cheaper to count, or one and the key columns to be made of its sampled rows.
+HotFrom = DataFrame | tuple[DataFrame, list[Column]]
+
+
+def key_hash(keys: list[str] | list[Column]) -> Column:
     """One long for any number of key columns, NULL keys included."""
     return F.xxhash64(*keys) if keys else F.lit(0).cast("long")
 
 
 def find_hot_keys(
-    df: DataFrame, keys: list[str], policy: HotKeyPolicy = DEFAULT_POLICY
+    df: DataFrame, keys: list[str] | list[Column], policy: HotKeyPolicy = DEFAULT_POLICY
 ) -> tuple[list[int], float]:
     """Hashes of the hot keys, and the number of rows above which a key is hot.
 
     Rows are sampled, so that a key at the limit is drawn ``sample_per_slice`` times;
-    only the sample is shuffled, whatever the size of the input.  Chance may miss or add
+    only the sample is shuffled, whatever the size of the input, and keys given as columns
+    are only made for sampled rows.  Chance may miss or add
     a key near the limit, which costs speed and never changes a result.
     """
     if policy.rules_out(df):
@@ -80,7 +85,7 @@ def find_hot_keys(
     if rows <= limit:
         return [], limit
     fraction = min(1.0, policy.sample_per_slice / limit)
-    drawn = df.select(key_hash(keys).alias(HASH)).sample(fraction=fraction, seed=7)
+    drawn = df.sample(fraction=fraction, seed=7).select(key_hash(keys).alias(HASH))
     counted = drawn.groupBy(HASH).agg(F.count(F.lit(1)).alias("n"))
     return [r[0] for r in counted.where(F.col("n") > limit * fraction).collect()], limit
 
@@ -117,15 +122,16 @@ def cut_hot_keys(
     keys: list[str],
     order: list[str],
     policy: HotKeyPolicy = DEFAULT_POLICY,
-    hot_from: DataFrame | None = None,
+    hot_from: HotFrom | None = None,
 ) -> Cuts | None:
     """Cut points for the hot keys of ``df``, or None when no key is hot.
 
-    ``hot_from`` may be a frame with the same keys that is cheaper to count.
+    ``hot_from`` may be a frame with the same keys that is cheaper to count, alone or with its key columns.
     Rows equal in all ``order`` columns stay in one slice, so ``order`` should end
     with a column that tells copies apart.
     """
-    hot, limit = find_hot_keys(df if hot_from is None else hot_from, keys, policy)
+    source, by = hot_from if isinstance(hot_from, tuple) else (df if hot_from is None else hot_from, keys)
+    hot, limit = find_hot_keys(source, by, policy)
     if not hot:
         return None
     fraction = min(1.0, policy.sample_per_slice / limit)

@@ -19,6 +19,7 @@ from ledgerline.operators.skew import (
     HASH,
     SLICE,
     Cuts,
+    HotFrom,
     HotKeyPolicy,
     attach_summary,
     cut_hot_keys,
@@ -150,7 +151,7 @@ def shift_columns(
     order: list[str],
     shifts: dict[str, tuple[str, int] | tuple[str, int, object]],
     policy: HotKeyPolicy = DEFAULT_POLICY,
-    hot_from: DataFrame | None = None,
+    hot_from: HotFrom | None = None,
     cuts: Cuts | None | object = FIND,
 ) -> DataFrame:
     """Add values of earlier (positive offset) or later (negative offset) rows of the key.
@@ -347,7 +348,7 @@ def idle_time(
     busy: Column,
     out: str,
     policy: HotKeyPolicy = DEFAULT_POLICY,
-    hot_from: DataFrame | None = None,
+    hot_from: HotFrom | None = None,
 ) -> DataFrame:
     """Hours each key spent idle, two decimals.
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.casts import iso_timestamp, to_double
 from ledgerline.functions.scalars import energy_used, hours_between
-from ledgerline.operators.skew import DEFAULT_POLICY, HotKeyPolicy, enrich
+from ledgerline.operators.skew import DEFAULT_POLICY, HotFrom, HotKeyPolicy, enrich
 from ledgerline.operators.windows import idle_time, latest_per_key
 from ledgerline.plans import charging_schemas as shape
 from ledgerline.sources.writers import write_parquet
@@ -138,7 +138,7 @@ def with_totals(sessions: DataFrame, unit: str = "kWh") -> DataFrame:
 
 
 def parking_time(
-    samples: DataFrame, policy: HotKeyPolicy = DEFAULT_POLICY, hot_from: DataFrame | None = None
+    samples: DataFrame, policy: HotKeyPolicy = DEFAULT_POLICY, hot_from: HotFrom | None = None
 ) -> DataFrame:
     """Idle hours per transaction; a transaction that never idles has no row."""
     power = main_power(samples).select("transaction_id", "timestamp", "value")
@@ -157,7 +157,7 @@ def charge_records(
     how: str = "inner",
     unit: str = "kWh",
     policy: HotKeyPolicy = DEFAULT_POLICY,
-    metered: DataFrame | None = None,
+    metered: HotFrom | None = None,
     keep_stop_keys: bool = False,
 ) -> DataFrame:
     """Charge records with all nine columns from the four cleaned tables.
@@ -175,7 +175,8 @@ def charge_records(
 
 def charge_records_from_log(log: DataFrame, policy: HotKeyPolicy = DEFAULT_POLICY) -> DataFrame:
     """Charge records straight from the raw log: seven columns, energy in Wh, the charge point of the stop."""
-    readings = unpack(messages(log, "MeterValues", shape.REQUEST), "transaction_id int")
+    # Only sampled messages are parsed in search of hot transactions.
+    transaction = F.from_json("body", "transaction_id int", {"mode": "PERMISSIVE"})["transaction_id"]
     records = charge_records(
         start_requests(log),
         start_responses(log),
@@ -184,7 +185,7 @@ def charge_records_from_log(log: DataFrame, policy: HotKeyPolicy = DEFAULT_POLIC
         "inner",
         "Wh",
         policy,
-        readings.select("new_body.transaction_id"),
+        (messages(log, "MeterValues", shape.REQUEST).select("body"), [transaction]),
         keep_stop_keys=True,
     )
     return records.select(*SHORT_RECORD)

@@ -172,3 +172,18 @@ def test_idle_time_with_readings_sent_again(skewed):
     again = rows.unionByName(rows.where("t % 3 = 0"))
     args = ("k", "t", F.col("v") > 400, "hours")
     same(win.idle_time(again, *args, policy=SMALL), win.idle_time(rows, *args, policy=PLAIN))
+
+
+def test_keys_are_made_for_sampled_rows_only(spark, skewed):
+    """Keys given as columns of a rawer frame find the same cuts; only sampled rows meet the function that makes them."""
+    raw = skewed.select(F.to_json(F.struct("k")).alias("body"))
+    key = F.from_json("body", "k string")["k"]
+    want, got = find_hot_keys(skewed, ["k"], SMALL), find_hot_keys(raw, [key], SMALL)
+    assert set(got[0]) == set(want[0]) and got[1] == want[1]
+    cuts = [cut_hot_keys(skewed, ["k"], ["grade", "id"], SMALL, hot_from) for hot_from in (None, (raw, [key]))]
+    assert cuts[0].hot == cuts[1].hot and cuts[0].count == cuts[1].count
+    # About a fifth of the 3,000 rows is drawn.
+    made = spark.sparkContext.accumulator(0)
+    counted = F.udf(lambda k: made.add(1) or k, "string")
+    find_hot_keys(skewed, [counted("k")], SMALL)
+    assert 0 < made.value < 1500
