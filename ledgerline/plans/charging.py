@@ -17,7 +17,7 @@ from ledgerline.functions.scalars import energy_used, hours_between
 from ledgerline.operators.skew import DEFAULT_POLICY, HotFrom, HotKeyPolicy, enrich
 from ledgerline.operators.windows import idle_time, latest_per_key
 from ledgerline.plans import charging_schemas as shape
-from ledgerline.sources.writers import write_parquet
+from ledgerline.sources.writers import LAYER_CODEC, write_parquet
 
 LOG_COLUMNS = ["message_id", "message_type", "charge_point_id", "action", "write_timestamp"]
 
@@ -200,7 +200,7 @@ def build_layers(log: DataFrame, base: str, policy: HotKeyPolicy = DEFAULT_POLIC
     each other and are written side by side.
     """
     spark = log.sparkSession
-    log.write.mode("overwrite").partitionBy("action", "message_type").parquet(f"{base}/bronze")
+    log.write.mode("overwrite").partitionBy("action", "message_type").parquet(f"{base}/bronze", compression=LAYER_CODEC)
     bronze = spark.read.schema(shape.LOG).parquet(f"{base}/bronze")
     makers = {
         "start_requests": start_requests,
@@ -209,7 +209,7 @@ def build_layers(log: DataFrame, base: str, policy: HotKeyPolicy = DEFAULT_POLIC
         "meter_samples": meter_samples,
     }
     with ThreadPoolExecutor(len(makers)) as pool:
-        list(pool.map(lambda name: write_parquet(makers[name](bronze), f"{base}/silver/{name}"), makers))
+        list(pool.map(lambda name: write_parquet(makers[name](bronze), f"{base}/silver/{name}", compression=LAYER_CODEC), makers))
     silver = {name: spark.read.parquet(f"{base}/silver/{name}") for name in makers}
     gold = charge_records(
         silver["start_requests"],

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.casts import to_bool, to_day, to_float, to_int
 from ledgerline.operators import aggregates as agg
-from ledgerline.sources.writers import split_quality, write_parquet, write_with_quarantine
+from ledgerline.sources.writers import LAYER_CODEC, split_quality, write_parquet, write_with_quarantine
 
 # Columns of a raw chart row, all text.
 RAW_COLUMNS = """
@@ -133,8 +133,8 @@ def build_silver(raw: DataFrame, base: str) -> DataFrame:
     ``checked/quality=good`` and the others to ``checked/quality=quarantine``.
     """
     spark = raw.sparkSession
-    write_parquet(raw, f"{base}/bronze")
-    write_with_quarantine(clean(spark.read.parquet(f"{base}/bronze")), F.col("streams").isNotNull(), f"{base}/checked")
+    write_parquet(raw, f"{base}/bronze", compression=LAYER_CODEC)
+    write_with_quarantine(clean(spark.read.parquet(f"{base}/bronze")), F.col("streams").isNotNull(), f"{base}/checked", LAYER_CODEC)
     return spark.read.parquet(f"{base}/checked").where("quality = 'good'").drop("quality")
 
 

@@ -57,7 +57,7 @@ def chart_files(spark: SparkSession, sf: str) -> DataFrame:
         "af_time_signature": number % 3 + 3,
     }
     path = scratch_path(spark, "chart-files")
-    write_csv(rows.select(*[cells[c].cast("string").alias(c) for c in charts.BATCH_COLUMNS]), path, compression="snappy", file_rows=FILE_ROWS)
+    write_csv(rows.select(*[cells[c].cast("string").alias(c) for c in charts.BATCH_COLUMNS]), path, compression="gzip", file_rows=FILE_ROWS)
     return read_csv(spark, path, T.StructType([T.StructField(c, T.StringType()) for c in charts.BATCH_COLUMNS]))
 
 

@@ -15,9 +15,13 @@ from ledgerline.functions.scalars import calendar_parts, message_label
 LOG_PARTITIONS = ["charge_point_id", "year", "month", "day"]
 
 
-def write_parquet(df: DataFrame, path: str, mode: str | None = "overwrite") -> None:
-    """Write parquet.  ``mode=None`` is Spark's default: fail when the path holds data."""
-    df.write.mode(mode or "errorifexists").parquet(path)
+# Tables of layers are written and read within one job, where fewer bytes count for more than the last second.
+LAYER_CODEC = "zstd"
+
+
+def write_parquet(df: DataFrame, path: str, mode: str | None = "overwrite", compression: str | None = None) -> None:
+    """Write parquet.  ``mode=None`` is Spark's default: fail when the path holds data; so is the codec without ``compression``."""
+    df.write.mode(mode or "errorifexists").parquet(path, compression=compression)
 
 
 def spread(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -123,10 +127,10 @@ def split_quality(df: DataFrame, good: Column) -> tuple[DataFrame, DataFrame]:
     return df.where(good), df.where(~F.coalesce(good, F.lit(False)))
 
 
-def write_with_quarantine(df: DataFrame, good: Column, path: str) -> None:
+def write_with_quarantine(df: DataFrame, good: Column, path: str, compression: str | None = None) -> None:
     """Both parts in one pass, as folders ``quality=good`` and ``quality=quarantine``."""
     verdict = F.when(F.coalesce(good, F.lit(False)), "good").otherwise("quarantine")
-    df.withColumn("quality", verdict).write.partitionBy("quality").mode("overwrite").parquet(path)
+    df.withColumn("quality", verdict).write.partitionBy("quality").mode("overwrite").parquet(path, compression=compression)
 
 
 def has_rows(df: DataFrame) -> bool:

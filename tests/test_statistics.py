@@ -252,5 +252,5 @@ def test_chart_files_are_small_and_lines_are_shuffled_once(spark, sf, monkeypatc
     ]
     assert plan.count("Exchange hashpartitioning") == 4
     names = files.inputFiles()
-    assert all(n.endswith(".csv.snappy") for n in names)
+    assert all(n.endswith(".csv.gz") for n in names)
     assert max(r["count"] for r in files.groupBy(F.input_file_name()).count().collect()) <= 500
