@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -246,6 +247,47 @@ def test_search_skips_nothing_that_counts():
         assert best[0].tolist() == [i for _, i in want] and np.allclose(best[1], [-s for s, _ in want], atol=2e-6)
 
 
+def test_search_counts_words_of_few_rows_at_a_time(spark):
+    """What a worker holds while it counts words does not follow the rows of a batch."""
+    import tracemalloc
+
+    class Rows:
+        select, mapInArrow = (lambda self, *cols: self), (lambda self, run, schema: run)
+
+    run = top_k.indexed(Rows(), "doc_id", "text")
+    texts = [" ".join(f"w{i * j % 40_009}" for j in range(1, 101)) for i in range(1, 4_001)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(4_000), pa.int64()), pa.array([None, *texts[1:]])], names=["id", "text"])
+    list(run(iter([batch])))  # fills what is kept between batches
+    tracemalloc.start()
+    lengths = [n for b in run(iter([batch])) for n in b.column(1).to_pylist()]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert lengths == [0] + [100] * 3_999 and peak < 20e6
+
+
+def test_search_sends_no_rows_for_each_task(spark, monkeypatch):
+    """Rows before the merge follow the queries, not the queries times the tasks; ids may repeat or be null."""
+    word = F.concat(F.lit("w"), F.floor(F.pow(F.pmod(F.xxhash64("doc_id", "i"), F.lit(1000)) / 1000, 3) * 300).cast("string"))
+    docs = spark.range(2_000, numPartitions=1).withColumnRenamed("id", "doc_id").withColumn("i", F.explode(F.sequence(F.lit(1), F.lit(25)))).select("doc_id", word.alias("w"))
+    docs = docs.groupBy("doc_id").agg(F.concat_ws(" ", F.collect_list("w")).alias("text"))
+    docs = docs.union(docs.where("doc_id < 40")).union(docs.where("doc_id < 40").withColumn("doc_id", F.lit(None).cast("long")))
+    docs = docs.repartition(64).localCheckpoint()
+    found, real = [], top_k._found
+    monkeypatch.setattr(top_k, "_found", lambda *args: found.append(real(*args)) or found[-1])
+    packed = "spark.sql.files.openCostInBytes", "spark.sql.files.maxPartitionBytes"
+    for key in packed:
+        spark.conf.set(key, "1k")
+    try:
+        many = {tuple(r) for r in top_k.search(docs, F.col("doc_id") % 20 == 0, shard_postings=2_000).collect()}
+        before = sum(x.count() for x in found)
+    finally:
+        for key in packed:
+            spark.conf.unset(key)
+    one = {tuple(r) for r in top_k.search(docs.coalesce(1), F.col("doc_id") % 20 == 0, shard_postings=10**9).collect()}
+    assert many == one and len(one) == 1_000
+    assert before < 20_000
+
+
 def test_crc_of_positions(spark):
     row = best_fit.matrix_digests(best_fit.packed_matrix(spark.createDataFrame([(1, "")], "doc_id bigint, text string"))).first()
     assert row.positions_crc32 == zlib.crc32(np.r_[0, np.arange(1023)].astype("<u4").tobytes()) and row.n_tokens == 1
