@@ -26,6 +26,7 @@ browsers do in simple cases: an open paragraph ends at the next block, end tags
 from __future__ import annotations
 
 import re
+from collections import OrderedDict
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -43,6 +44,10 @@ CONSTANT, SURE = 0.9, 2 / 3
 HINT = 0.1
 #: Cells of the matching table that are kept at a time.
 TABLE = 250_000
+#: Bytes of the reference pages' trees that a task keeps, and about what an element takes besides its text.
+KEPT, NODE = 32 << 20, 400
+#: Nodes whose votes a task sums before it hands them on.
+VOTES = 50_000
 # Element names of HTML.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = set("a abbr b bdi bdo cite code data dfn em font i kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
@@ -80,6 +85,11 @@ class Tree(HTMLParser):
         for n in reversed(self.nodes):
             n.size = 1 + sum(c.size for c in n.children if isinstance(c, Node))
 
+    def release(self) -> None:
+        """Cuts the links between elements, so that the tree goes at once and not when cycles are looked for."""
+        for n in self.nodes:
+            n.parent, n.children = None, []
+
     def _inside(self, tags: set[str], stop: set[str]) -> Node | None:
         n = self.open
         while n is not None and n.tag not in stop:
@@ -323,34 +333,60 @@ def _references(pages: DataFrame) -> DataFrame:
     return given.groupBy("host").agg(F.min(F.struct(F.col("id").isNull(), "id", "html")).alias("r")).select("host", F.col("r.html").alias("reference"))
 
 
-class _Trees(dict):
-    def __missing__(self, html: str) -> Tree:
-        if len(self) > 200:
-            self.clear()
-        self[html] = tree = Tree(html)
+class _Trees:
+    """Trees of reference pages; the one that was longest not asked for goes first."""
+
+    def __init__(self):
+        self.trees: OrderedDict[str, tuple[Tree, int]] = OrderedDict()
+        self.kept = 0
+
+    def __getitem__(self, html: str) -> Tree:
+        if html in self.trees:
+            self.trees.move_to_end(html)
+            return self.trees[html][0]
+        tree = Tree(html)
+        size = len(html) + NODE * len(tree.nodes)
+        while self.trees and self.kept + size > KEPT:
+            old, gone = self.trees.popitem(last=False)[1]
+            self.kept -= gone
+            old.release()
+        self.trees[html] = tree, size
+        self.kept += size
         return tree
 
 
+def _values(batch: pa.RecordBatch, *columns: int) -> Iterator[tuple]:
+    """The values of a few columns row by row: a batch repeats its host's page and nodes in each row, so they are not read all at once."""
+    return zip(*((v.as_py() for v in batch.column(k)) for k in columns))
+
+
 def _votes(pages: DataFrame) -> DataFrame:
     """``host``, ``node`` of the reference, ``n`` pages with that node and ``same`` of them with the same text."""
 
+    def summed(votes: dict[tuple, list[int]]) -> pa.RecordBatch:
+        cols = [[k[0] for k in votes], [k[1] for k in votes], [v[0] for v in votes.values()], [v[1] for v in votes.values()]]
+        kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64()]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=["host", "node", "n", "same"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trees = _Trees()
         for b in batches:
             votes: dict[tuple, list[int]] = {}
-            for host, html, reference in zip(*(b.column(k).to_pylist() for k in range(3))):
+            for host, html, reference in _values(b, 0, 1, 2):
                 if html == reference:
                     continue
-                ref = trees[reference]
-                for x, y in matched(ref.root, Tree(html).root):
+                ref, tree = trees[reference], Tree(html)
+                for x, y in matched(ref.root, tree.root):
                     text = own_text(x)
                     if text:
                         v = votes.setdefault((host, x.index), [0, 0])
                         v[0] += 1
                         v[1] += text == own_text(y)
-            cols = [[k[0] for k in votes], [k[1] for k in votes], [v[0] for v in votes.values()], [v[1] for v in votes.values()]]
-            kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=["host", "node", "n", "same"])
+                tree.release()
+                if len(votes) > VOTES:
+                    yield summed(votes)
+                    votes = {}
+            yield summed(votes)
 
     each = pages.mapInArrow(run, "host string, node long, n long, same long")
     return each.groupBy("host", "node").agg(F.sum("n").alias("n"), F.sum("same").alias("same"))
@@ -380,19 +416,21 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
         for b in batches:
             n = b.num_columns
             texts = []
-            for source, reference, nodes in zip(*(b.column(k).to_pylist() for k in (n - 3, n - 2, n - 1))):
+            for (source, reference), nodes in zip(_values(b, n - 3, n - 2), b.column(n - 1)):
                 if not source:
                     texts.append("")
                     continue
                 tree, known, template = Tree(source), {}, set()
-                if nodes:
-                    voted = {v["node"]: v for v in nodes}
+                if nodes.is_valid:
+                    node, constant, fixed = (v.to_pylist() for v in nodes.values.flatten())
+                    voted = dict(zip(node, zip(constant, fixed)))
                     for x, y in matched(trees[reference].root, tree.root):
                         if (v := voted.get(x.index)) and own_text(x) == own_text(y):
-                            known[y.index] = v["constant"]
-                            if v["template"]:
+                            known[y.index] = v[0]
+                            if v[1]:
                                 template.add(y.index)
                 texts.append(main_text(tree, known, template))
+                tree.release()
             yield pa.RecordBatch.from_arrays([*b.columns[: n - 3], pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=schema.names)
 
     return rows.mapInArrow(run, schema)

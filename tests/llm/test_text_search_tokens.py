@@ -3,6 +3,7 @@
 import hashlib
 import html
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -122,6 +123,36 @@ def test_page_text_follows_slots(spark):
     assert got[10].startswith("Read our new book") and "Title" not in got[10]
 
 
+def test_page_text_holds_few_rows_and_trees(spark, monkeypatch):
+    """A batch repeats its host's page and nodes in each row, and a task meets many hosts with long pages: neither is held whole."""
+    steps: list = []
+    frame = spark.createDataFrame([(1, "http://h/", "<p>x")], "page_id bigint, url string, html string")
+    whole = type(frame).mapInArrow
+    monkeypatch.setattr(type(frame), "mapInArrow", lambda self, run, schema: steps.append(run) or whole(self, run, schema))
+    wrappers.extract_main_text(frame)
+    monkeypatch.setattr(wrappers, "KEPT", 1 << 20, raising=False)
+    monkeypatch.setattr(wrappers, "VOTES", 1000, raising=False)
+    votes, texts = steps
+
+    def measured(run, **columns):
+        batch = pa.RecordBatch.from_pydict(columns)
+        tracemalloc.start()
+        try:
+            out = sum(sum(b.column(b.num_columns - 1).to_pylist()) for b in run(iter([batch])))
+            return out, tracemalloc.get_traced_memory()[1]
+        finally:
+            tracemalloc.stop()
+
+    page = lambda i: f"<article><p>page {i}" + "<p>line" * 300 + "</article>"
+    n = 80
+    same, held = measured(votes, host=[f"h{i}" for i in range(n)], html=[page(i) for i in range(n)], reference=[page(-1 - i) for i in range(n)])
+    assert (same, held < 8e6) == (300 * n, True)
+    known = pa.array([[{"node": i, "constant": 1.0, "template": True} for i in range(1, 101)]], pa.list_(pa.struct({"node": pa.int64(), "constant": pa.float64(), "template": pa.bool_()})))
+    n = 2000
+    chars, held = measured(texts, c0=list(range(n)), c1=[""] * n, html=["<p>same<p>new"] * n, reference=["<p>same<p>old"] * n, nodes=pa.concat_arrays([known] * n))
+    assert (chars, held < 8e6) == (len("new") * n, True)
+
+
 @pytest.mark.parametrize(
     "given, want",
     [
